@@ -35,19 +35,23 @@ def key_quoted(line: Column, index: int, sep: str = ",", strict: bool = True) ->
     """Field ``index`` of a quote-aware split, quotes removed.
 
     A delimiter separates fields when an even number of quotes follows it.
-    Cutting the line at its quotes gives pieces whose distance from the end is
-    that number, so one pass over the pieces is enough. The pieces hold no
-    quote, which makes the quote itself a safe field mark. A look-ahead
-    pattern would scan to the end of the line at every delimiter.
+    Cutting the line at its quotes gives pieces, and that number is even for
+    every other piece, counted from the last; so one pass over the pieces is
+    enough, where a look-ahead pattern would scan to the end of the line at
+    every delimiter. The pieces hold no quote, which makes the quote itself a
+    safe field mark.
     """
     pieces = F.split(line, QUOTE)
-    last = F.size(pieces) - 1
 
-    def mark(piece: Column, at: Column) -> Column:
-        outside = F.pmod(last - at, F.lit(2)) == 0
-        return F.when(outside, F.replace(piece, F.lit(sep), F.lit(QUOTE))).otherwise(piece)
+    def marked(parity: int) -> Column:
+        def mark(piece: Column, at: Column) -> Column:
+            outside = F.pmod(at, F.lit(2)) == parity
+            return F.when(outside, F.replace(piece, F.lit(sep), F.lit(QUOTE))).otherwise(piece)
 
-    aware = F.split(F.array_join(F.transform(pieces, mark), ""), QUOTE, index + 2)
+        return F.array_join(F.transform(pieces, mark), "")
+
+    balanced = F.pmod(F.size(pieces), F.lit(2)) == 1
+    aware = F.split(F.when(balanced, marked(0)).otherwise(marked(1)), QUOTE, index + 2)
     plain = F.split(line, f"\\Q{sep}\\E", index + 2)
     return _field(F.when(line.contains(QUOTE), aware).otherwise(plain), index, strict)
 
@@ -58,7 +62,10 @@ def _field(fields: Column, index: int, strict: bool) -> Column:
     found = F.get(fields, F.lit(index))
     if not strict:
         return found
-    return F.coalesce(found, F.raise_error(F.lit(f"line has no field {index}")))
+    # The last value is never reached; it tells Spark that the key is not null,
+    # which saves a second evaluation of the key in a null filter.
+    failed = F.raise_error(F.lit(f"line has no field {index}"))
+    return F.coalesce(found, failed.cast("string"), F.lit(""))
 
 
 def series_mean(line: Column, empty: str = "zero", bad: str = "error") -> Column:

@@ -145,9 +145,10 @@ def indicator_match_lists(
         .groupBy(COUNTRY_FIELD, "event")
         .agg(F.count("*").alias("times"))
     )
-    parts = texts.groupBy(COUNTRY_FIELD).agg(
-        parts_needed(F.count("*"), part_size).alias("of")
-    )
+    # Counting by `times` keeps it in this branch, so that both branches read
+    # one shuffle; without it the events would be read and grouped twice.
+    different = F.count_if(F.col("times") > 0)
+    parts = texts.groupBy(COUNTRY_FIELD).agg(parts_needed(different, part_size).alias("of"))
     # No hint here: the number of keys is not bounded, so AQE decides by the
     # measured size and splits a skewed key otherwise.
     lists = (

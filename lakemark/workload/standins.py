@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemark.constants import (
     CLAIMANT_FIELD,
@@ -32,8 +33,15 @@ INDICATOR_HEADER = ",".join(
 TOTALS_HEADER = "nation;country;suppliers;quantity"
 
 
+# Schemas of the given tables, which never change: a file's footer is read once.
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +49,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some events have no country; some claimants are null, blank or unknown.
     """
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    placed = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
     priority = F.col("o_orderpriority")
     nowhere = (F.col("o_orderstatus") == "P") & (priority == "1-URGENT")
     return typed_events(
-        orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        placed.select(
             F.when(~nowhere, F.col("n_name")).alias(COUNTRY_FIELD),
             F.year("o_orderdate").alias(YEAR_FIELD),
             F.when(priority == "4-NOT SPECIFIED", "Unknown")

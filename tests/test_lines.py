@@ -1,0 +1,159 @@
+"""Keys and series of hand-made lines."""
+
+import re
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lakemark.functions.lines import (
+    has_indicator,
+    key_first_comma,
+    key_plain,
+    key_quoted,
+    series_mean,
+)
+from lakemark.sources import dataset_name, read_lines, read_table, strip_header
+
+def value_column():
+    return F.col("value")
+
+
+def wide(*cells, name="A", code="C.1"):
+    """A full-width quoted line; missing cells are blank."""
+    padded = list(cells) + [""] * (57 - len(cells))
+    return ",".join(f'"{c}"' for c in [name, "AA", "label", code, *padded])
+
+
+def test_first_comma_cuts_a_quoted_name(lines):
+    df = lines('"Bahamas, The","x"', '"Chad","x"', "Mali,x", '"', "", ",x")
+    keys = [r[0] for r in df.select(key_first_comma(value_column())).collect()]
+    assert keys == ["Bahamas", "Chad", "Mali", "", "", ""]
+
+
+def test_quoted_key_keeps_the_whole_name(lines):
+    df = lines('"Bahamas, The","x, y",z', 'a"b,c"d,"e"', 'no,quote')
+    keys = lambda k: [r[0] for r in df.select(key_quoted(value_column(), k, strict=False)).collect()]
+    assert keys(0) == ["Bahamas, The", "ab,cd", "no"]
+    assert keys(1) == ["x, y", "e", "quote"]
+    assert keys(2) == ["z", None, None]
+
+
+def by_quotes_behind(line, index):
+    """Fields cut at commas with an even number of quotes behind them."""
+    cuts = [i for i, c in enumerate(line) if c == "," and line[i:].count('"') % 2 == 0]
+    ends = [-1, *cuts, len(line)]
+    fields = [line[a + 1 : b].replace('"', "") for a, b in zip(ends, ends[1:])]
+    return fields[index] if index < len(fields) else None
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet='",ab', max_size=14), min_size=1, max_size=40))
+def test_quoted_key_equals_counting_the_quotes(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    columns = [key_quoted(value_column(), k, strict=False).alias(f"f{k}") for k in range(4)]
+    for row in df.select("value", *columns).collect():
+        assert list(row[1:]) == [by_quotes_behind(row.value, k) for k in range(4)]
+
+
+def test_plain_key_keeps_quotes_and_commas(lines):
+    df = lines('1;"Chad";x', "1;Mali, West;x;y")
+    assert [r[0] for r in df.select(key_plain(value_column(), 1)).collect()] == ['"Chad"', "Mali, West"]
+
+
+@pytest.mark.parametrize("key", [key_plain, key_quoted])
+def test_missing_field_fails_or_is_null(lines, key):
+    df = lines("a")
+    assert df.select(key(value_column(), 3, strict=False)).first()[0] is None
+    with pytest.raises(Exception, match="line has no field 3"):
+        df.select(key(value_column(), 3)).collect()
+    with pytest.raises(ValueError):
+        key(value_column(), -1)
+
+
+def test_code_in_any_cell_selects(lines):
+    df = lines(wide(code="X.Y"), wide("X.Y"), wide(code="X-Y"))
+    assert df.filter(has_indicator(value_column(), "X.Y")).count() == 2
+
+
+def mean_of(lines, *texts, **options):
+    return [r[0] for r in lines(*texts).select(series_mean(value_column(), **options)).collect()]
+
+
+def test_mean_leaves_blanks_out(lines):
+    assert mean_of(lines, wide("1", "", "2.5", "", "1e1")) == [4.5]
+
+
+def test_blank_and_zero_series_give_zero(lines):
+    assert mean_of(lines, wide(), wide("0", "0.0"), wide("-1", "1"), "no cells") == [0.0] * 4
+    assert mean_of(lines, wide(), wide("0"), wide("4"), empty="null") == [None, 0.0, 4.0]
+
+
+def test_bad_number(lines):
+    with pytest.raises(Exception, match="not a number: .."):
+        mean_of(lines, wide("1", ".."))
+    assert mean_of(lines, wide("1", ".."), wide("3"), bad="null") == [None, 3.0]
+    with pytest.raises(ValueError):
+        series_mean(value_column(), bad="skip")
+
+
+def test_only_quoted_tokens_take_a_position(lines):
+    # One label without quotes shifts the series by one: its first cell is
+    # then read as a label.
+    shifted = wide("100", "2", "4").replace('"label"', "label")
+    assert mean_of(lines, shifted) == [3.0]
+
+
+def test_positions_start_over_after_a_full_width(lines):
+    twice = wide("1") + "," + wide("5", name="7", code="9")
+    assert mean_of(lines, twice) == [3.0]
+
+
+def brute_mean(line):
+    tokens = [t[1:-1] for t in re.findall(r'"[^"]*"', line)]
+    values = [float(t) for i, t in enumerate(tokens) if i % 61 >= 4 and t]
+    total = 0.0
+    for v in values:
+        total += v
+    return total / len(values) if total else 0.0
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.lists(
+            st.one_of(st.just(""), st.floats(-1e6, 1e6, allow_nan=False).map(repr)),
+            max_size=130,
+        ),
+        min_size=1,
+        max_size=20,
+    )
+)
+def test_mean_equals_brute_force(spark, series):
+    texts = [",".join(f'"{c}"' for c in ["n", "c", "l", "i", *cells]) for cells in series]
+    df = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    for row in df.select("value", series_mean(value_column()).alias("mean")).collect():
+        assert row.mean == brute_mean(row.value)
+
+
+def test_header_lines_go_everywhere(spark, lines, tmp_path):
+    path = tmp_path / "lake.csv"
+    path.write_text("h1,h2\na,1\nh1,h2\nb,2\na,1\n")
+    left = strip_header(read_lines(spark, str(path)))
+    assert [r[0] for r in left.collect()] == ["a,1", "b,2", "a,1"]
+    assert strip_header(lines("x", "h"), header="h").count() == 1
+    assert strip_header(lines()).count() == 0
+
+
+def test_table_types_and_delimiter(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('k;n;x\n"a;b";1;1.5\n;2;\n')
+    df = read_table(spark, str(path), ";")
+    assert df.dtypes == [("k", "string"), ("n", "int"), ("x", "double")]
+    assert [tuple(r) for r in df.collect()] == [("a;b", 1, 1.5), (None, 2, None)]
+    assert read_table(spark, str(path), ";", "k STRING, n BIGINT, x STRING").dtypes[1][1] == "bigint"
+
+
+def test_dataset_name():
+    assert dataset_name("hdfs://host/input/nations.csv") == "nations"
