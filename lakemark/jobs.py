@@ -7,11 +7,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemark.constants import DEFENSE_CODE, ENERGY_CODE
+from lakemark.constants import (
+    CLAIMANT_FIELD,
+    COMMA,
+    COUNTRY_FIELD,
+    DEFENSE_CODE,
+    ENERGY_CODE,
+    SEMICOLON,
+    YEAR_FIELD,
+)
 from lakemark.operators import profile
-from lakemark.operators.joins import join_profiled
+from lakemark.operators.counts import count_by, count_claimed
+from lakemark.operators.joins import parametric_join
 from lakemark.plans import reports
-from lakemark.session import scaled
+from lakemark.session import shared_folder, tune
 from lakemark.sinks import write_documents, write_report
 from lakemark.sources import (
     dataset_name,
@@ -23,9 +32,9 @@ from lakemark.sources import (
 )
 
 LISTED_REPORTS = {
-    "most-attacked-countries": (reports.most_attacked_countries, reports.country_documents),
-    "attacks-per-year": (reports.attacks_per_year, reports.year_documents),
-    "claimed-attacks": (reports.claimed_attacks, reports.group_documents),
+    "most-attacked-countries": (COUNTRY_FIELD, reports.country_documents),
+    "attacks-per-year": (YEAR_FIELD, reports.year_documents),
+    "claimed-attacks": (CLAIMANT_FIELD, reports.group_documents),
 }
 INDICATOR_REPORTS = {
     "attacks-energy": (ENERGY_CODE, reports.energy_documents),
@@ -63,16 +72,21 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--code", help="another indicator code")
         job.add_argument("--documents", action="store_true", help="save documents, not text")
 
-    job = jobs.add_parser("profile")
+    stored = argparse.ArgumentParser(add_help=False)
+    stored.add_argument("--metadata", help="path of the stored profiles, or of the documents")
+    stored.add_argument(
+        "--metadata-format", help="json, mongodb, ...: one set of profile documents"
+    )
+    stored.add_argument("--metadata-option", type=_option, action="append", default=[])
+
+    job = jobs.add_parser("profile", parents=[stored])
     job.add_argument("lake", help="headered file")
     job.add_argument("sep")
-    job.add_argument("--metadata", required=True, help="path of the stored profiles")
 
-    job = jobs.add_parser("join", parents=[source, sink])
+    job = jobs.add_parser("join", parents=[source, sink, stored])
     job.add_argument("lake")
     job.add_argument("dataset", help="name the profile is stored under")
-    job.add_argument("sep", choices=[",", ";"])
-    job.add_argument("--metadata", required=True)
+    job.add_argument("sep", choices=[COMMA, SEMICOLON])
     job.add_argument("--out", help="path of the joined rows; five are shown without it")
     job.add_argument("--as-text", action="store_true", help="whole events as text")
     job.add_argument("--skip-short-lines", action="store_true")
@@ -91,15 +105,25 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     if args.job == "profile":
         columns = profile.profile_columns(read_table(spark, args.lake, args.sep))
-        profile.save(profile.metadata(columns, dataset_name(args.lake)), args.metadata)
+        stored = profile.metadata(columns, dataset_name(args.lake))
+        if args.metadata_format:
+            found = profile.documents(stored)
+            options = dict(args.metadata_option)
+            write_documents(found, args.metadata, args.metadata_format, "overwrite", **options)
+        else:
+            profile.save(stored, args.metadata)
         return
 
     events = read_events(spark, args.events, args.events_format, **dict(args.events_option))
     if args.job in LISTED_REPORTS:
-        report, documents = LISTED_REPORTS[args.job]
-        if args.job == "most-attacked-countries":
-            reports.top_k(events).show(truncate=False)
-        _save(documents(report(events)), args)
+        key, documents = LISTED_REPORTS[args.job]
+        counts = count_claimed(events) if key == CLAIMANT_FIELD else count_by(events, key)
+        if key == COUNTRY_FIELD:
+            # Stored, so that the preview and the report share one event scan.
+            shared_folder(spark)
+            counts = counts.checkpoint()
+            reports.top_counts(counts, key).show(truncate=False)
+        _save(documents(reports.listed(counts, key)), args)
     elif args.job in INDICATOR_REPORTS:
         code, documents = INDICATOR_REPORTS[args.job]
         lines = strip_header(read_lines(spark, args.lake))
@@ -109,13 +133,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             write_report(report, args.out)
     else:
-        joined = join_profiled(
-            spark,
+        if args.metadata_format:
+            reader = spark.read.format(args.metadata_format)
+            reader = reader.options(**dict(args.metadata_option))
+            found = reader.load(args.metadata) if args.metadata else reader.load()
+            index = profile.key_of_documents(found)
+        else:
+            index = profile.load_key(spark, args.metadata, args.dataset)
+        joined = parametric_join(
             events,
-            args.lake,
-            args.metadata,
-            args.dataset,
+            strip_header(read_lines(spark, args.lake)),
             args.sep,
+            index,
             strict=not args.skip_short_lines,
             as_text=args.as_text,
         )
@@ -132,9 +161,13 @@ def _save(documents: DataFrame, args: argparse.Namespace) -> None:
 
 
 def main(argv: Sequence[str] | None = None) -> None:
-    args = parser().parse_args(argv)
-    spark = scaled(SparkSession.builder.appName(f"lakemark {args.job}")).getOrCreate()
-    run(spark, args)
+    jobs = parser()
+    args = jobs.parse_args(argv)
+    if args.job in ("profile", "join") and not (args.metadata or args.metadata_format):
+        jobs.error("name the stored profiles by --metadata")
+    if args.job in INDICATOR_REPORTS and not (args.out or args.documents):
+        jobs.error("give the report a folder, or --documents")
+    run(tune(SparkSession.builder.appName(f"lakemark {args.job}").getOrCreate()), args)
 
 
 if __name__ == "__main__":

@@ -60,12 +60,13 @@ def match_on_key(
 ) -> DataFrame:
     """Inner equi-join that keeps every pair; null keys pair with nothing.
 
-    Measured small, ``lines`` is broadcast and the events are not shuffled.
+    Measured small, ``lines`` is broadcast and the events are not shuffled; a
+    negative ``broadcast_bytes`` saves the measuring where they surely are not.
     Beyond that both sides are shuffled, and the rows of a hot event key are
     spread over several tasks, each with a copy of that key's lines. A key
     that is hot among the lines is left to the skew handling of AQE.
     """
-    if measured_bytes(lines) <= broadcast_bytes:
+    if broadcast_bytes >= 0 and measured_bytes(lines) <= broadcast_bytes:
         return events.join(F.broadcast(lines), key)
     hot = hot_keys(events, key, hot_share)
     if hot is None:

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from lakemark.constants import (
     DEFAULT_KEY_COLUMN,
+    DOC_COLUMN_NUMBER,
+    DOC_DIFFERENT_VALUES,
+    DOC_KEY_COLUMN,
     MAX_SENTINEL_GROUPS,
     MIN_GROUPS,
     SENTINEL_TEXTS,
@@ -156,6 +159,19 @@ def save(stored: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def documents(stored: DataFrame) -> DataFrame:
+    """A stored profile under the field names of profile documents.
+
+    Written as json, or to a document store, each document has only the fields
+    that are not null.
+    """
+    return stored.select(
+        F.col("column_number").alias(DOC_COLUMN_NUMBER),
+        F.col("different_values").alias(DOC_DIFFERENT_VALUES),
+        F.col("key_column").alias(DOC_KEY_COLUMN),
+    )
+
+
 def load_metadata(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Stored profile of one dataset; reads only its folder."""
     schema = "column_number INT, different_values BIGINT, key_column INT, dataset STRING"
@@ -165,8 +181,18 @@ def load_metadata(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
 def load_key(spark: SparkSession, path: str, dataset: str) -> int:
     """Key column index stored for a dataset; one value, read to the driver."""
-    stored = load_metadata(spark, path, dataset).filter(F.col("key_column").isNotNull())
-    row = stored.select("key_column").first()
+    stored = load_metadata(spark, path, dataset)
+    return _first_key(stored, "key_column", f"dataset {dataset!r}")
+
+
+def key_of_documents(found: DataFrame) -> int:
+    """Key column index that profile documents name."""
+    return _first_key(found, DOC_KEY_COLUMN, "these documents")
+
+
+def _first_key(stored: DataFrame, field: str, place: str) -> int:
+    key = quoted_name(field)
+    row = stored.filter(key.isNotNull()).select(key.cast("int")).first()
     if row is None:
-        raise LookupError(f"no key column stored for dataset {dataset!r}")
+        raise LookupError(f"no key column stored for {place}")
     return row[0]

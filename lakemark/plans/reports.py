@@ -24,18 +24,24 @@ from lakemark.operators.counts import PART_SIZE, count_by, count_claimed, keys_b
 from lakemark.operators.joins import indicator_means
 
 
-def _listed(counts: DataFrame, key: str, part_size: int) -> DataFrame:
+def listed(counts: DataFrame, key: str, part_size: int = PART_SIZE) -> DataFrame:
+    """Keys by their count, most first: ``(n, part, keys)``."""
     return keys_by_count(counts, key, part_size).orderBy(F.desc("n"), "part")
 
 
+def top_counts(counts: DataFrame, key: str, k: int = 5) -> DataFrame:
+    """The ``k`` keys with the largest counts, ties by name."""
+    return counts.orderBy(F.desc("n"), F.asc(key)).limit(k)
+
+
 def most_attacked_countries(events: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Countries by their number of events, most first: ``(n, part, keys)``."""
-    return _listed(count_by(events, COUNTRY_FIELD), COUNTRY_FIELD, part_size)
+    return listed(count_by(events, COUNTRY_FIELD), COUNTRY_FIELD, part_size)
 
 
 def attacks_per_year(events: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
     """Years by their number of events, most first: ``(n, part, keys)``."""
-    return _listed(count_by(events, YEAR_FIELD), YEAR_FIELD, part_size)
+    return listed(count_by(events, YEAR_FIELD), YEAR_FIELD, part_size)
 
 
 def claimed_attacks(
@@ -43,12 +49,12 @@ def claimed_attacks(
 ) -> DataFrame:
     """Claiming groups by their number of events, most first: ``(n, part, keys)``."""
     counts = count_claimed(events, keep_unclaimed=keep_unclaimed)
-    return _listed(counts, CLAIMANT_FIELD, part_size)
+    return listed(counts, CLAIMANT_FIELD, part_size)
 
 
 def top_k(events: DataFrame, k: int = 5, key: str = COUNTRY_FIELD) -> DataFrame:
     """The ``k`` keys with the most events, ties by name."""
-    return count_by(events, key).orderBy(F.desc("n"), F.asc(key)).limit(k)
+    return top_counts(count_by(events, key), key, k)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

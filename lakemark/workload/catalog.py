@@ -223,6 +223,15 @@ def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.load_metadata(spark, path, "part")
 
 
+def profile_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the profile of a table as documents and read them back."""
+    path = fresh_path(spark, "profile")
+    columns = profile.profile_columns(table(spark, sf_dir, "orders"))
+    write_documents(profile.documents(profile.metadata(columns, "orders")), path)
+    schema = "`Column Number` INT, `Different Values` BIGINT, `Key Column` INT"
+    return spark.read.schema(schema).json(path)
+
+
 def _profile_of(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return profile.profile_columns(table(spark, sf_dir, name))
@@ -287,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"key_column_{name}": _key_of(name) for name in (*PROFILED_TABLES, "lineitem")},
     "candidate_columns": candidate_columns,
     "stored_profile": stored_profile,
+    "profile_documents": profile_documents,
     "distinct_groups": distinct_groups,
     "column_values": column_values,
     "saved_column_values": saved_column_values,

@@ -278,6 +278,13 @@ SELECT 'part' AS dataset, column_index AS column_number, different_values,
 FROM candidates
 UNION ALL
 SELECT 'part', NULL, NULL, CAST(coalesce({_FIRST_BEST}, 0) AS INTEGER)""",
+    "profile_documents": f"""
+WITH {_candidates("orders", _TEXT_COLUMNS["orders"])}
+SELECT column_index AS "Column Number", different_values AS "Different Values",
+       CAST(NULL AS INTEGER) AS "Key Column"
+FROM candidates
+UNION ALL
+SELECT NULL, NULL, CAST(coalesce({_FIRST_BEST}, 0) AS INTEGER)""",
     "distinct_groups": f"""
 WITH {_EVENTS}
 SELECT count(*) AS different_values FROM (SELECT DISTINCT gname FROM events_in)""",

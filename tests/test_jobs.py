@@ -3,7 +3,7 @@
 import pytest
 
 from lakemark import jobs
-from lakemark.session import SCALE_SETTINGS, scaled
+from lakemark.session import SCALE_SETTINGS, tune
 
 HEADER = ",".join(f'"h{i}"' for i in range(61))
 
@@ -100,9 +100,21 @@ def test_profile_then_join(spark, run, folder, capsys):
     assert "[Chad, 1999, g]" in capsys.readouterr().out
 
 
+def test_profile_documents_then_join(spark, run, folder):
+    metadata = ["--metadata", folder / "documents", "--metadata-format", "json"]
+    run("profile", folder / "nations.csv", ";", *metadata)
+    assert sorted(lines_of(spark, folder / "documents")) == [
+        '{"Column Number":1,"Different Values":6}', '{"Key Column":1}',
+    ]
+    run("join", folder / "nations.csv", "nations", ";", *metadata,
+        "--events", folder / "collection", "--out", folder / "joined")
+    assert len(documents(spark, folder / "joined")) == 4
+
+
 def test_bad_arguments():
     for args in (
         [], ["join", "lake", "name", "|", "--metadata", "m"], ["attacks-energy"], ["profile", "x"],
+        ["no-such-job"],
         ["attacks-per-year", "--events-option", "novalue"],
     ):
         with pytest.raises(SystemExit):
@@ -111,14 +123,19 @@ def test_bad_arguments():
     assert dict(options.events_option) == {"database": "x=y"}
 
 
-def test_scale_settings_reach_the_builder():
-    class Builder:
-        def __init__(self):
-            self.seen = {}
-
-        def config(self, name, value):
-            self.seen[name] = value
-            return self
-
-    seen = scaled(Builder(), spark__sql__files__maxPartitionBytes="64m").seen
-    assert seen == SCALE_SETTINGS | {"spark.sql.files.maxPartitionBytes": "64m"}
+def test_missing_places():
+    for args in (["attacks-energy", "wide.csv"], ["profile", "t.csv", ";"]):
+        with pytest.raises(SystemExit):
+            jobs.main(args)
+
+
+def test_tuning_leaves_given_settings(spark):
+    names = list(SCALE_SETTINGS)
+    before = {name: spark.conf.get(name, None) for name in names}
+    other = spark.newSession()
+    tune(other)
+    given = spark.sparkContext.getConf()
+    for name in names:
+        expected = given.get(name) if given.contains(name) else SCALE_SETTINGS[name]
+        assert other.conf.get(name) == expected
+    assert before == {name: spark.conf.get(name, None) for name in names}
