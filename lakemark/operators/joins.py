@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from math import ceil
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +18,8 @@ from lakemark.functions.lines import (
     series_mean,
 )
 from lakemark.operators import profile
-from lakemark.operators.counts import PART_SIZE, part_number, parts_needed
+from lakemark.operators.counts import PART_SIZE, count_by, part_number, parts_needed
+from lakemark.session import shared_folder
 from lakemark.sources.lake import read_lines, strip_header
 
 # A side is broadcast only when it was measured to be at most this large.
@@ -37,18 +40,27 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame | None:
-    """Keys with more than ``share`` of all rows, as ``(key, salts INT)``.
+    """Keys with more than ``share`` of all keyed rows, as ``(key, salts INT)``.
 
     ``salts`` is how many times larger than that share the key is. There are
-    fewer than ``1 / share`` such keys whatever the data, so they are read to
-    the driver and come back as a small local table; None if there are none.
+    fewer than ``1 / share`` such keys whatever the data, so the most frequent
+    ones are read to the driver, in the same pass that adds up the total, and
+    come back as a small local table; None if there are none.
     """
-    limit = df.count() * share
-    counts = df.filter(quoted_name(key).isNotNull()).groupBy(quoted_name(key).alias(key))
-    hot = counts.agg(F.count("*").alias("n")).filter(F.col("n") > limit)
-    rows = hot.select(key, F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("salts"))
-    found = rows.collect() if limit else []
-    return df.sparkSession.createDataFrame(found, rows.schema) if found else None
+    total = Observation()
+    counts = (
+        df.filter(quoted_name(key).isNotNull())
+        .groupBy(quoted_name(key).alias(key))
+        .agg(F.count("*").alias("n"))
+        .observe(total, F.sum("n").alias("rows"))
+    )
+    frequent = counts.orderBy(F.desc("n")).limit(ceil(1 / share)).collect()
+    limit = (total.get["rows"] or 0) * share
+    hot = [(row[key], ceil(row.n / limit)) for row in frequent if row.n > limit]
+    if not hot:
+        return None
+    schema = T.StructType([df.schema[key], T.StructField("salts", T.IntegerType())])
+    return df.sparkSession.createDataFrame(hot, schema)
 
 
 def match_on_key(
@@ -56,7 +68,7 @@ def match_on_key(
     lines: DataFrame,
     key: str,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
+    hot_share: float | None = HOT_SHARE,
 ) -> DataFrame:
     """Inner equi-join that keeps every pair; null keys pair with nothing.
 
@@ -64,11 +76,12 @@ def match_on_key(
     negative ``broadcast_bytes`` saves the measuring where they surely are not.
     Beyond that both sides are shuffled, and the rows of a hot event key are
     spread over several tasks, each with a copy of that key's lines. A key
-    that is hot among the lines is left to the skew handling of AQE.
+    that is hot among the lines is left to the skew handling of AQE, and so are
+    all keys without a ``hot_share``.
     """
     if broadcast_bytes >= 0 and measured_bytes(lines) <= broadcast_bytes:
         return events.join(F.broadcast(lines), key)
-    hot = hot_keys(events, key, hot_share)
+    hot = hot_keys(events, key, hot_share) if hot_share else None
     if hot is None:
         return events.join(lines, key)
     # Partition number plus row hash: the same when a task is run again, and
@@ -136,33 +149,32 @@ def indicator_match_lists(
     """The same matches, nested per (country, line).
 
     ``(country_txt, line, copies, part, events ARRAY<STRUCT<event, times>>)``.
-    Equal events are counted before they are collected. The different events
-    of a country are spread over parts of about ``part_size`` by a hash, and a
-    list is built once per country part, before the join, not once per line.
+    The events of a country are spread over one part per ``part_size`` events
+    by a hash of their text, and equal texts are counted before they are
+    collected. A list is built once per country part, before the join, not
+    once per line.
     """
-    texts = (
-        events.filter(quoted_name(COUNTRY_FIELD).isNotNull())
-        .select(quoted_name(COUNTRY_FIELD), row_text(events).alias("event"))
-        .groupBy(COUNTRY_FIELD, "event")
-        .agg(F.count("*").alias("times"))
+    located = events.filter(quoted_name(COUNTRY_FIELD).isNotNull())
+    # One row per country from a scan of one column; stored, because it is
+    # measured and then joined.
+    shared_folder(events.sparkSession)
+    parts = (
+        count_by(located, COUNTRY_FIELD)
+        .select(COUNTRY_FIELD, parts_needed(F.col("n"), part_size).alias("of"))
+        .checkpoint()
     )
-    # Counting by `times` keeps it in this branch, so that both branches read
-    # one shuffle; without it the events would be read and grouped twice.
-    different = F.count_if(F.col("times") > 0)
-    parts = texts.groupBy(COUNTRY_FIELD).agg(parts_needed(different, part_size).alias("of"))
-    # No hint here: the number of keys is not bounded, so AQE decides by the
-    # measured size and splits a skewed key otherwise.
+    texts = located.select(quoted_name(COUNTRY_FIELD), row_text(located).alias("event"))
     lists = (
-        texts.join(parts, COUNTRY_FIELD)
+        match_on_key(texts, parts, COUNTRY_FIELD, **limits)
         .withColumn("part", part_number(F.col("event"), F.col("of")))
-        # Without this the join's partitioning by country would be kept, and a
-        # hot country with it.
-        .repartition(COUNTRY_FIELD, "part")
+        .groupBy(COUNTRY_FIELD, "part", "event")
+        .agg(F.count("*").alias("times"))
         .groupBy(COUNTRY_FIELD, "part")
         .agg(F.array_sort(F.collect_list(F.struct("event", "times"))).alias("events"))
     )
     keyed = keyed_indicator_lines(lines, code, key)
-    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits).select(
+    # Looking for hot keys would build the lists once more; AQE does here.
+    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits | {"hot_share": None}).select(
         COUNTRY_FIELD, "line", "copies", "part", "events"
     )
 

@@ -100,6 +100,10 @@ def _indicator_file(spark: SparkSession, sf_dir: str) -> str:
     return standins.lake_file(spark, lines, standins.INDICATOR_HEADER, "indicators")
 
 
+def _filed_indicator_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strip_header(read_lines(spark, _indicator_file(spark, sf_dir)))
+
+
 def _totals_file(spark: SparkSession, sf_dir: str) -> str:
     return standins.lake_file(
         spark, total_lines(spark, sf_dir), standins.TOTALS_HEADER, "totals"
@@ -107,7 +111,7 @@ def _totals_file(spark: SparkSession, sf_dir: str) -> str:
 
 
 def lake_lines_no_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return strip_header(read_lines(spark, _indicator_file(spark, sf_dir)))
+    return _filed_indicator_lines(spark, sf_dir)
 
 
 def lake_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +174,14 @@ def attacks_energy_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def indicator_match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indicator_matches(events(spark, sf_dir), indicator_lines(spark, sf_dir), ENERGY_CODE)
+    lines = _filed_indicator_lines(spark, sf_dir)
+    return indicator_matches(events(spark, sf_dir), lines, ENERGY_CODE)
 
 
 def indicator_match_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _filed_indicator_lines(spark, sf_dir)
     nested = indicator_match_lists(
-        events(spark, sf_dir), indicator_lines(spark, sf_dir), ENERGY_CODE, part_size=SMALL_PART
+        events(spark, sf_dir), lines, ENERGY_CODE, part_size=SMALL_PART
     )
     shown = F.transform("events", lambda e: F.concat_ws(" x", e.event, e.times.cast("string")))
     return nested.select(
@@ -189,7 +195,7 @@ def row_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parametric_join_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = strip_header(read_lines(spark, _indicator_file(spark, sf_dir)))
+    lines = _filed_indicator_lines(spark, sf_dir)
     return parametric_join(events(spark, sf_dir), lines, COMMA, 0, as_text=True)
 
 

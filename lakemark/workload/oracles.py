@@ -247,7 +247,7 @@ texts AS (
   FROM events_in WHERE country_txt IS NOT NULL GROUP BY 1, 2
 ),
 placed AS (
-  SELECT *, {_PART_OF.format(item="event", total="count(*) OVER (PARTITION BY country_txt)",
+  SELECT *, {_PART_OF.format(item="event", total="sum(times) OVER (PARTITION BY country_txt)",
                              size=_PART_SIZE)} AS part
   FROM texts
 )

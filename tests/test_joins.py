@@ -86,7 +86,8 @@ def test_match_lists_hold_the_same_events_in_bounded_rows(events, lines, limits)
     ).select("country_txt", "line", "e.event", F.explode(F.array_repeat("copies", F.col("e.times").cast("int"))))
     assert bag(expanded) == bag(flat)
     longest, parts = nested.agg(F.max(F.size("events")), F.count_distinct("part")).first()
-    assert longest < 50 and parts == 11
+    # 900 events of A in 45 parts, though only 201 are different.
+    assert longest < 20 and parts > 35
 
 
 @pytest.mark.parametrize("limits", WAYS)
@@ -182,12 +183,14 @@ def test_report_counts_before_it_joins(spark, events, lines, tmp_path):
     assert plan.index("Join") < plan.index("partial_count(1)")
 
 
-def test_list_parts_read_the_events_once(spark, events, lines, tmp_path):
+def test_list_parts_shuffle_the_texts_twice(spark, events, lines, tmp_path):
+    """Once to count equal texts, once to collect; the parts are broadcast."""
     path = str(tmp_path / "c")
     events(*[("A", i, "g") for i in range(50)]).write.parquet(path)
     nested = joins.indicator_match_lists(spark.read.parquet(path), lines(wide("A", "1")), CODE)
     plan = plan_of(nested)
-    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning(country_txt") == 2
 
 
 def test_quoted_key_is_evaluated_once(spark, tmp_path):

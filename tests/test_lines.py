@@ -48,7 +48,7 @@ def by_quotes_behind(line, index):
     return fields[index] if index < len(fields) else None
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet='",ab', max_size=14), min_size=1, max_size=40))
 def test_quoted_key_equals_counting_the_quotes(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "value STRING")
@@ -119,7 +119,7 @@ def brute_mean(line):
     return total / len(values) if total else 0.0
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.lists(

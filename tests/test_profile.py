@@ -93,7 +93,7 @@ def test_long_values_are_told_apart_by_their_last_character(spark):
     assert (row.different_values, row.sentinel_groups) == (5, 1)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
         st.tuples(
