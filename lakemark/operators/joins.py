@@ -55,7 +55,9 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame | N
         .observe(total, F.sum("n").alias("rows"))
     )
     frequent = counts.orderBy(F.desc("n")).limit(ceil(1 / share)).collect()
-    limit = (total.get["rows"] or 0) * share
+    if not frequent:
+        return None
+    limit = total.get["rows"] * share
     hot = [(row[key], ceil(row.n / limit)) for row in frequent if row.n > limit]
     if not hot:
         return None

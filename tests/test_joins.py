@@ -157,6 +157,28 @@ def test_hot_key_is_spread_over_tasks(spark, events, lines):
             spark.conf.set(name, value)
 
 
+def test_hot_lines_are_split_at_run_time(spark, events, lines):
+    """A key that is hot among the lines only is split by AQE."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        given = events(*[(f"c{i}", i, "g") for i in range(3000)])
+        lake = lines(*[f"c7,{i},{'x' * 40}" for i in range(4000)], *[f"c{i}" for i in range(3000)])
+        joined = joins.parametric_join(given, lake.repartition(8), ",", 0, broadcast_bytes=-1)
+        assert len(joined.collect()) == 7000
+        assert "SortMergeJoin(skew=true)" in plan_of(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def plan_of(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

@@ -38,7 +38,11 @@ def test_query_matches_oracle(spark, duck, sf_dir, name):
     ours = rows_of(result.columns, [tuple(r) for r in result.collect()])
     theirs = rows_of(columns, expected.fetchall())
     assert ours == theirs
-    assert sum(ours.values()) > 0 or name == "key_column"
+    assert sum(ours.values()) > 0
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for slow in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+        # One row of totals over a table is made of partial rows, one per task.
+        assert slow not in plan or (slow == "SinglePartition" and sum(ours.values()) < 5), slow
 
 
 def test_entry(spark):
