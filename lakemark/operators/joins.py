@@ -24,6 +24,7 @@ from lakemark.sources.lake import read_lines, strip_header
 
 # A side is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024
+ROW_BYTES = 64
 
 # A key is hot when it holds more than this share of the large side's rows;
 # at most 1 / share keys can.
@@ -31,10 +32,14 @@ HOT_SHARE = 0.002
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of all values as text, from one aggregation; one number returned."""
+    """Size of all rows in a hash table, from one aggregation; one number returned.
+
+    Values count as text, and every row has a fixed cost on top, so many tiny
+    rows are not taken for a small table.
+    """
     width = sum(
         (F.coalesce(F.octet_length(quoted_name(c).cast("string")), F.lit(0)) for c in df.columns),
-        F.lit(0),
+        F.lit(ROW_BYTES),
     )
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 

@@ -1,5 +1,6 @@
 """Joining events to lines, small and large, even and skewed."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -101,6 +102,48 @@ def test_parametric_join_repeats_lines_and_skips_nulls(events, lines, limits):
     assert bag(texts) == {("B", "[B, 2, h]", "2,B"): 1}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_joins_equal_brute_force(events, lines, seed):
+    """Random events, a third of them in one country, against random lines."""
+    rng = random.Random(seed)
+    places = ["A", "B", "C", "D, The", "", None]
+    rows = [
+        ("A" if rng.random() < 1 / 3 else rng.choice(places), rng.randrange(3), rng.choice("xy"))
+        for _ in range(300)
+    ]
+    texts = [
+        wide(
+            rng.choice(["A", "B", "D, The", "D", "E"]),
+            *[rng.choice(["", str(rng.randrange(-5, 50))]) for _ in range(rng.randrange(58))],
+            code=rng.choice([CODE, "Z"]),
+        )
+        for _ in range(40)
+    ]
+    texts += texts[:10]
+    given, lake = events(*rows), lines(*texts)
+
+    def whole_name(text):
+        return text[1:].split('"')[0]
+
+    expected = Counter(
+        (*event, text) for event in rows for text in texts if event[0] == whole_name(text)
+    )
+    for limits in WAYS:
+        assert bag(joins.parametric_join(given, lake, ",", 0, **limits)) == expected
+
+    def mean(text):
+        cells = [float(c) for c in text.split('"')[9::2] if c]
+        return sum(cells) / len(cells) if cells and sum(cells) else 0.0
+
+    counts = Counter(event[0] for event in rows)
+    chosen = {text for text in texts if f'"{CODE}"' in text}
+    short = {text: whole_name(text).split(",")[0] for text in chosen}
+    report = Counter(
+        (counts[short[t]], short[t], mean(t)) for t in chosen if counts[short[t]]
+    )
+    assert bag(reports.indicator_report(given, lake, CODE)) == report
+
+
 def test_semicolon_keys_keep_quotes(events, lines):
     given = events(("A", 1, "g"), ('"A"', 2, "g"))
     joined = joins.parametric_join(given, lines('1;"A"', "1;B"), ";", 1)
@@ -117,9 +160,9 @@ def test_unknown_delimiter_and_short_lines(events, lines):
 
 
 def test_measured_bytes(spark, lines):
-    assert joins.measured_bytes(lines("abc", "é", None)) == 5
+    assert joins.measured_bytes(lines("abc", "é", None)) == 5 + 3 * joins.ROW_BYTES
     assert joins.measured_bytes(lines()) == 0
-    assert joins.measured_bytes(spark.range(12)) == 14
+    assert joins.measured_bytes(spark.range(12)) == 14 + 12 * joins.ROW_BYTES
 
 
 def test_hot_keys_by_share(events):
