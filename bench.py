@@ -81,7 +81,7 @@ def join_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = standins.total_lines(spark, sf_dir)
     return parametric_join(
         standins.events(spark, sf_dir), lines, SEMICOLON, 1, as_text=True,
-        broadcast_bytes=-1, hot_share=0.01,
+        broadcast_bytes=-1, hot_rows=100,
     )
 
 

@@ -26,9 +26,10 @@ from lakemark.sources.lake import read_lines, strip_header
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 64
 
-# A key is hot when it holds more than this share of the large side's rows;
-# at most 1 / share keys can.
-HOT_SHARE = 0.002
+# A key is hot when it has more rows than one task should join. Large data
+# raises that number, so that fewer than MAX_HOT_KEYS keys can be hot.
+HOT_ROWS = 2_000_000
+MAX_HOT_KEYS = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -44,30 +45,32 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame | None:
-    """Keys with more than ``share`` of all keyed rows, as ``(key, salts INT)``.
+def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``rows`` rows, as ``(key, salts INT)``; None if none.
 
-    ``salts`` is how many times larger than that share the key is. There are
-    fewer than ``1 / share`` such keys whatever the data, so the most frequent
-    ones are read to the driver, in the same pass that adds up the total, and
-    come back as a small local table; None if there are none.
+    ``salts`` is how many times ``rows`` the key has. Where total / rows would
+    allow more than ``MAX_HOT_KEYS`` such keys, ``rows`` is raised to rule that
+    out. So the hot keys are among that many most frequent ones, which are
+    read to the driver in the same pass that adds up the total and come back
+    as a small local table.
     """
     total = Observation()
-    counts = (
+    frequent = (
         df.filter(quoted_name(key).isNotNull())
         .groupBy(quoted_name(key).alias(key))
         .agg(F.count("*").alias("n"))
         .observe(total, F.sum("n").alias("rows"))
+        .filter(F.col("n") > rows)
+        .orderBy(F.desc("n"))
+        .limit(MAX_HOT_KEYS)
+        .collect()
     )
-    frequent = counts.orderBy(F.desc("n")).limit(ceil(1 / share)).collect()
     if not frequent:
         return None
-    limit = total.get["rows"] * share
+    limit = max(rows, total.get["rows"] / MAX_HOT_KEYS)
     hot = [(row[key], ceil(row.n / limit)) for row in frequent if row.n > limit]
-    if not hot:
-        return None
     schema = T.StructType([df.schema[key], T.StructField("salts", T.IntegerType())])
-    return df.sparkSession.createDataFrame(hot, schema)
+    return df.sparkSession.createDataFrame(hot, schema) if hot else None
 
 
 def match_on_key(
@@ -75,7 +78,7 @@ def match_on_key(
     lines: DataFrame,
     key: str,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float | None = HOT_SHARE,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Inner equi-join that keeps every pair; null keys pair with nothing.
 
@@ -84,11 +87,11 @@ def match_on_key(
     Beyond that both sides are shuffled, and the rows of a hot event key are
     spread over several tasks, each with a copy of that key's lines. A key
     that is hot among the lines is left to the skew handling of AQE, and so are
-    all keys without a ``hot_share``.
+    all keys without ``hot_rows``.
     """
     if broadcast_bytes >= 0 and measured_bytes(lines) <= broadcast_bytes:
         return events.join(F.broadcast(lines), key)
-    hot = hot_keys(events, key, hot_share) if hot_share else None
+    hot = hot_keys(events, key, hot_rows) if hot_rows else None
     if hot is None:
         return events.join(lines, key)
     # Partition number plus row hash: the same when a task is run again, and
@@ -181,7 +184,7 @@ def indicator_match_lists(
     )
     keyed = keyed_indicator_lines(lines, code, key)
     # Looking for hot keys would build the lists once more; AQE does here.
-    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits | {"hot_share": None}).select(
+    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits | {"hot_rows": None}).select(
         COUNTRY_FIELD, "line", "copies", "part", "events"
     )
 

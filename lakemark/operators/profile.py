@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,7 +87,8 @@ def profile_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def _groups(df: DataFrame, token) -> DataFrame:
+def _groups(df: DataFrame, token: Callable[[Column], Column]) -> DataFrame:
+    """Row counts of (column, token of the value) over the text columns."""
     texts = string_columns(df)
     if not texts:
         empty = "column_index INT, column_name STRING, value STRING, n BIGINT"
@@ -117,13 +120,16 @@ def choose_key(profile: DataFrame) -> DataFrame:
     The candidate with the fewest groups, the leftmost of equals; the first
     column, flagged, if there is no candidate.
     """
-    best = F.min_by("column_index", F.struct("different_values", "column_index"))
     return candidates(profile).agg(
-        F.coalesce(best, F.lit(DEFAULT_KEY_COLUMN)).alias("key_column"),
-        best.isNotNull().alias("has_candidates"),
+        F.coalesce(_fewest_groups(), F.lit(DEFAULT_KEY_COLUMN)).alias("key_column"),
+        _fewest_groups().isNotNull().alias("has_candidates"),
     )
 
 
+def _fewest_groups() -> Column:
+    return F.min_by("column_index", F.struct("different_values", "column_index"))
+
+
 def metadata(profile: DataFrame, dataset: str) -> DataFrame:
     """Stored form of a profile: a row per candidate and one key row.
 
@@ -133,11 +139,10 @@ def metadata(profile: DataFrame, dataset: str) -> DataFrame:
     and saves profiling twice.
     """
     none_int, none_long = F.lit(None).cast("int"), F.lit(None).cast("bigint")
-    best = F.min_by("column_index", F.struct("different_values", "column_index"))
     chosen = F.struct(
         none_int.alias("column_number"),
         none_long.alias("different_values"),
-        F.coalesce(best, F.lit(DEFAULT_KEY_COLUMN)).alias("key_column"),
+        F.coalesce(_fewest_groups(), F.lit(DEFAULT_KEY_COLUMN)).alias("key_column"),
     )
     found = F.collect_list(
         F.struct(

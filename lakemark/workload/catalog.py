@@ -208,7 +208,7 @@ def parametric_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join as if the lines were too many to broadcast."""
     lines = strip_header(read_lines(spark, _totals_file(spark, sf_dir)))
     return parametric_join(
-        events(spark, sf_dir), lines, SEMICOLON, 1, broadcast_bytes=-1, hot_share=0.01
+        events(spark, sf_dir), lines, SEMICOLON, 1, broadcast_bytes=-1, hot_rows=100
     )
 
 

@@ -16,8 +16,8 @@ CODE = "X.Y"
 # The three ways of match_on_key: broadcast, plain shuffle, salted shuffle.
 WAYS = [
     {},
-    {"broadcast_bytes": -1, "hot_share": 1.0},
-    {"broadcast_bytes": -1, "hot_share": 0.05},
+    {"broadcast_bytes": -1, "hot_rows": None},
+    {"broadcast_bytes": -1, "hot_rows": 1},
 ]
 
 
@@ -165,11 +165,18 @@ def test_measured_bytes(spark, lines):
     assert joins.measured_bytes(spark.range(12)) == 14 + 12 * joins.ROW_BYTES
 
 
-def test_hot_keys_by_share(events):
-    given = events(*[("A", i, "g") for i in range(60)], *[(f"c{i}", 1, "g") for i in range(40)])
-    assert bag(joins.hot_keys(given, "country_txt", 0.1)) == {("A", 6): 1}
-    assert joins.hot_keys(given, "country_txt", 0.6) is None
-    assert joins.hot_keys(events(), "country_txt") is None
+def test_hot_keys_by_rows(events, monkeypatch):
+    given = events(
+        *[("A", i, "g") for i in range(60)],
+        *[(f"c{i}", 1, "g") for i in range(40)],
+        *[(None, 1, "g")] * 99,
+    )
+    assert bag(joins.hot_keys(given, "country_txt", 10)) == {("A", 6): 1}
+    assert joins.hot_keys(given, "country_txt", 60) is None
+    assert joins.hot_keys(events(), "country_txt", 1) is None
+    # Five hot keys at most: the limit rises from 1 to a fifth of 100 rows.
+    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 5)
+    assert bag(joins.hot_keys(given, "country_txt", 1)) == {("A", 3): 1}
 
 
 def test_hot_key_is_spread_over_tasks(spark, events, lines):
@@ -183,9 +190,9 @@ def test_hot_key_is_spread_over_tasks(spark, events, lines):
     spark.conf.set(conf[0], "false")
     spark.conf.set(conf[1], "-1")
     try:
-        for share, largest in ((1.0, 3000), (0.01, 1500)):
+        for rows, largest in ((None, 3000), (90, 1500)):
             joined = joins.parametric_join(
-                given, lake, ",", 0, broadcast_bytes=-1, hot_share=share
+                given, lake, ",", 0, broadcast_bytes=-1, hot_rows=rows
             )
             per_task = joined.filter("country_txt = 'A'").groupBy(
                 F.spark_partition_id()
@@ -193,7 +200,7 @@ def test_hot_key_is_spread_over_tasks(spark, events, lines):
             sizes = [r[1] for r in per_task.collect()]
             assert sum(sizes) == 3000
             assert max(sizes) <= largest
-            if share < 1:
+            if rows:
                 assert len(sizes) >= 4
     finally:
         for name, value in zip(conf, before):
