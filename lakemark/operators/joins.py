@@ -159,9 +159,8 @@ def indicator_match_lists(
     """The same matches, nested per (country, line).
 
     ``(country_txt, line, copies, part, events ARRAY<STRUCT<event, times>>)``.
-    The events of a country are spread over one part per ``part_size`` events
-    by a hash of their text, and equal texts are counted before they are
-    collected. A list is built once per country part, before the join, not
+    Equal texts are counted first; the texts of a country are then spread over
+    one part per ``part_size`` events by a hash, and collected. A list is built once per country part, before the join, not
     once per line.
     """
     located = events.filter(quoted_name(COUNTRY_FIELD).isNotNull())
@@ -173,18 +172,23 @@ def indicator_match_lists(
         .select(COUNTRY_FIELD, parts_needed(F.col("n"), part_size).alias("of"))
         .checkpoint()
     )
-    texts = located.select(quoted_name(COUNTRY_FIELD), row_text(located).alias("event"))
+    texts = (
+        located.select(quoted_name(COUNTRY_FIELD), row_text(located).alias("event"))
+        .groupBy(COUNTRY_FIELD, "event")
+        .agg(F.count("*").alias("times"))
+    )
+    # Looking for hot keys would group the texts, or build the lists, once
+    # more; AQE does in both joins, given a shuffle of its own behind the first.
+    limits = limits | {"hot_rows": None}
     lists = (
         match_on_key(texts, parts, COUNTRY_FIELD, **limits)
         .withColumn("part", part_number(F.col("event"), F.col("of")))
-        .groupBy(COUNTRY_FIELD, "part", "event")
-        .agg(F.count("*").alias("times"))
+        .repartition(COUNTRY_FIELD, "part")
         .groupBy(COUNTRY_FIELD, "part")
         .agg(F.array_sort(F.collect_list(F.struct("event", "times"))).alias("events"))
     )
     keyed = keyed_indicator_lines(lines, code, key)
-    # Looking for hot keys would build the lists once more; AQE does here.
-    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits | {"hot_rows": None}).select(
+    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits).select(
         COUNTRY_FIELD, "line", "copies", "part", "events"
     )
 

@@ -136,3 +136,8 @@ def test_listing_shuffles_the_events_once(spark, events, tmp_path):
     report.collect()
     plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_a_missing_connector_is_named(spark):
+    with pytest.raises(Exception, match="(?s)DATA_SOURCE_NOT_FOUND.*mongodb"):
+        read_events(spark, fmt="mongodb", database="d", collection="c")
