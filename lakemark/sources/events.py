@@ -57,13 +57,15 @@ def ingest_csv(
     schema: T.StructType | str | None = None,
     sep: str = ",",
     multiline: bool = False,
+    **options: str,
 ) -> None:
     """Load a headered CSV into the event collection, replacing what is there.
 
     A blank text cell is stored as an empty text, a blank number as null.
     Multi-line cells make a file one task's work, so they are off by default.
+    ``options`` go to the CSV reader, such as ``encoding``.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
+    reader = spark.read.options(header=True, sep=sep, multiLine=multiline, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     table = reader.csv(source)
     texts = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]

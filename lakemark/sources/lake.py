@@ -33,13 +33,14 @@ def read_table(
     path: str,
     sep: str = ",",
     schema: T.StructType | str | None = None,
+    **options: str,
 ) -> DataFrame:
     """A headered CSV file as a typed table.
 
     Types are inferred unless ``schema`` is given; inferring reads the file
-    twice.
+    twice. ``options`` go to the CSV reader.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
+    reader = spark.read.options(header=True, sep=sep, **options)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)

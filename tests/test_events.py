@@ -122,6 +122,13 @@ def test_ingest_replaces_and_keeps_blank_texts(spark, tmp_path):
     assert sorted(map(tuple, rows), key=str) == sorted([("A, B", 1999, ""), ("", None, "g")], key=str)
 
 
+def test_ingest_options(spark, tmp_path):
+    source, target = tmp_path / "in.csv", str(tmp_path / "collection")
+    source.write_bytes('country_txt;note\nPerú;"two\nlines"\n'.encode("latin-1"))
+    ingest_csv(spark, str(source), target, sep=";", multiline=True, encoding="ISO-8859-1")
+    assert tuple(spark.read.parquet(target).first()) == ("Perú", "two\nlines")
+
+
 def test_count_scan_reads_one_column(spark, events, tmp_path):
     path = str(tmp_path / "c")
     events(("A", 1, "g")).write.parquet(path)
