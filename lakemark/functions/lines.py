@@ -27,45 +27,44 @@ def key_first_comma(line: Column) -> Column:
 def key_plain(line: Column, index: int, sep: str = ";", strict: bool = True) -> Column:
     """Field ``index`` of a plain split; quotes are kept."""
     # The limit stops splitting right behind the wanted field.
-    fields = F.split(line, f"\\Q{sep}\\E", index + 2)
-    return _field(fields, index, strict)
+    fields = F.split(line, rf"\Q{sep}\E", index + 2)
+    return _present(F.get(fields, F.lit(index)), index, strict)
 
 
 def key_quoted(line: Column, index: int, sep: str = ",", strict: bool = True) -> Column:
     """Field ``index`` of a quote-aware split, quotes removed.
 
-    A delimiter separates fields when an even number of quotes follows it.
-    Cutting the line at its quotes gives pieces, and that number is even for
-    every other piece, counted from the last; so one pass over the pieces is
-    enough, where a look-ahead pattern would scan to the end of the line at
-    every delimiter. The pieces hold no quote, which makes the quote itself a
-    safe field mark.
-    """
-    pieces = F.split(line, QUOTE)
-
-    def marked(parity: int) -> Column:
-        def mark(piece: Column, at: Column) -> Column:
-            outside = F.pmod(at, F.lit(2)) == parity
-            return F.when(outside, F.replace(piece, F.lit(sep), F.lit(QUOTE))).otherwise(piece)
+    A delimiter separates fields when an even number of quotes follows it. So
+    quoted text pairs up from the end of the line: where the number of quotes
+    is odd, all before the first quote belongs to the first field.
 
-        return F.array_join(F.transform(pieces, mark), "")
+    One pattern reads up to the wanted field and no further. It never steps
+    back, so its time is linear and long lines are safe, where a look-ahead
+    pattern would scan to the end of the line at every delimiter.
+    """
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(QUOTE), F.lit("")))
+    odd = F.pmod(quotes, F.lit(2)) == 1
+    head = F.when(odd, F.substring_index(line, QUOTE, 1)).otherwise("")
+    body = F.when(odd, F.substr(line, F.instr(line, QUOTE) + 1)).otherwise(line)
 
-    balanced = F.pmod(F.size(pieces), F.lit(2)) == 1
-    aware = F.split(F.when(balanced, marked(0)).otherwise(marked(1)), QUOTE, index + 2)
-    plain = F.split(line, f"\\Q{sep}\\E", index + 2)
-    return _field(F.when(line.contains(QUOTE), aware).otherwise(plain), index, strict)
+    field = rf'\Q{sep}\E(?:[^"\Q{sep}\E]++|"[^"]*+")*+'
+    # With its delimiter in front, a blank field differs from a missing one.
+    found = F.regexp_extract(F.concat(F.lit(sep), body), f"^(?:{field}){{{index}}}+({field})", 1)
+    text = F.replace(F.substr(found, F.lit(len(sep) + 1)), F.lit(QUOTE), F.lit(""))
+    if index == 0:
+        text = F.concat(head, text)
+    return _present(F.when(found != "", text), index, strict)
 
 
-def _field(fields: Column, index: int, strict: bool) -> Column:
+def _present(field: Column, index: int, strict: bool) -> Column:
     if index < 0:
         raise ValueError(f"field index must not be negative: {index}")
-    found = F.get(fields, F.lit(index))
     if not strict:
-        return found
+        return field
     # The last value is never reached; it tells Spark that the key is not null,
     # which saves a second evaluation of the key in a null filter.
     failed = F.raise_error(F.lit(f"line has no field {index}"))
-    return F.coalesce(found, failed.cast("string"), F.lit(""))
+    return F.coalesce(field, failed.cast("string"), F.lit(""))
 
 
 def series_mean(line: Column, empty: str = "zero", bad: str = "error") -> Column:

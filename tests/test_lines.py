@@ -48,7 +48,7 @@ def by_quotes_behind(line, index):
     return fields[index] if index < len(fields) else None
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(alphabet='",ab', max_size=14), min_size=1, max_size=40))
 def test_quoted_key_equals_counting_the_quotes(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "value STRING")
@@ -57,6 +57,16 @@ def test_quoted_key_equals_counting_the_quotes(spark, texts):
         assert list(row[1:]) == [by_quotes_behind(row.value, k) for k in range(4)]
 
 
+def test_quoted_key_of_very_long_lines(spark):
+    """Half a million pieces, and a quote that is never closed."""
+    cells = '"a,b",' * 250_000
+    df = spark.createDataFrame([(cells + "end",), ('x,"' + cells + "end",)], "value STRING")
+    keys = lambda k: [r[0] for r in df.select(key_quoted(value_column(), k)).collect()]
+    assert keys(0) == ["a,b", "x,a,b"]
+    assert keys(1) == ["a,b", "a,b"]
+    assert keys(250_000) == ["end", "end"]
+
+
 def test_plain_key_keeps_quotes_and_commas(lines):
     df = lines('1;"Chad";x', "1;Mali, West;x;y")
     assert [r[0] for r in df.select(key_plain(value_column(), 1)).collect()] == ['"Chad"', "Mali, West"]
