@@ -42,18 +42,21 @@ def key_quoted(line: Column, index: int, sep: str = ",", strict: bool = True) ->
     back, so its time is linear and long lines are safe, where a look-ahead
     pattern would scan to the end of the line at every delimiter.
     """
-    quotes = F.length(line) - F.length(F.replace(line, F.lit(QUOTE), F.lit("")))
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(QUOTE), F.lit("")))
     odd = F.pmod(quotes, F.lit(2)) == 1
-    head = F.when(odd, F.substring_index(line, QUOTE, 1)).otherwise("")
-    body = F.when(odd, F.substr(line, F.instr(line, QUOTE) + 1)).otherwise(line)
-
+    behind_first = F.substr(line, F.instr(line, QUOTE) + 1)
     field = rf'\Q{sep}\E(?:[^"\Q{sep}\E]++|"[^"]*+")*+'
-    # With its delimiter in front, a blank field differs from a missing one.
-    found = F.regexp_extract(F.concat(F.lit(sep), body), f"^(?:{field}){{{index}}}+({field})", 1)
-    text = F.replace(F.substr(found, F.lit(len(sep) + 1)), F.lit(QUOTE), F.lit(""))
+    wanted = f"^(?:{field}){{{index}}}+({field})"
+
+    def read(text: Column) -> Column:
+        # With its delimiter in front, a blank field differs from a missing one.
+        found = F.nullif(F.regexp_extract(F.concat(F.lit(sep), text), wanted, 1), F.lit(""))
+        return F.replace(F.substr(found, F.lit(len(sep) + 1)), F.lit(QUOTE), F.lit(""))
+
     if index == 0:
-        text = F.concat(head, text)
-    return _present(F.when(found != "", text), index, strict)
+        first = F.concat(F.substring_index(line, QUOTE, 1), read(behind_first))
+        return _present(F.when(odd, first).otherwise(read(line)), index, strict)
+    return _present(read(F.when(odd, behind_first).otherwise(line)), index, strict)
 
 
 def _present(field: Column, index: int, strict: bool) -> Column:
