@@ -22,6 +22,7 @@ from lakemark.functions.lines import key_first_comma, series_mean
 from lakemark.operators.counts import count_by
 from lakemark.operators.joins import parametric_join
 from lakemark.operators.profile import string_columns
+from lakemark.sources import read_lines, strip_header
 from lakemark.workload import standins
 from lakemark.workload.catalog import QUERIES
 
@@ -53,7 +54,8 @@ def report_join_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = lines.distinct().select(key_first_comma(F.col("value")).alias(COUNTRY_FIELD), "value")
     joined = standins.events(spark, sf_dir).join(keyed.hint("merge"), COUNTRY_FIELD)
     counted = joined.groupBy(COUNTRY_FIELD, "value").agg(F.count("*").alias("n"))
-    return counted.select("n", COUNTRY_FIELD, series_mean(F.col("value")).alias("mean"))
+    report = counted.select("n", COUNTRY_FIELD, series_mean(F.col("value")).alias("mean"))
+    return report.orderBy(F.desc("n"), COUNTRY_FIELD, "mean")
 
 
 def profile_per_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +80,9 @@ def profile_count_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def join_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The salted join with whole-row texts in place of typed columns."""
-    lines = standins.total_lines(spark, sf_dir)
+    totals = standins.total_lines(spark, sf_dir)
+    path = standins.lake_file(spark, totals, standins.TOTALS_HEADER, "totals")
+    lines = strip_header(read_lines(spark, path))
     return parametric_join(
         standins.events(spark, sf_dir), lines, SEMICOLON, 1, as_text=True,
         broadcast_bytes=-1, hot_rows=100,
