@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemark.llm.bpe import encode
 from lakemark.llm.common import table
+from lakemark.llm.fingerprints import fingerprint, with_successor
 from lakemark.llm.mixing import mixing_plan
+from lakemark.llm.secret_scan import fit_formats, scan_secrets
 from lakemark.llm.toxicity import REJECT_AT, fit_toxicity, score_toxicity
 
 
@@ -37,12 +39,48 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    docs = with_successor(table(spark, sf_dir, "documents"))
+    own, follower = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
+    length = F.char_length(own)
+    cut = F.floor(length / 4).cast("int")
+    edited = F.concat(F.substring(own, F.lit(1), length - cut), F.substring(follower, F.lit(1), cut))
+    rows = docs.select("doc_id", length.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next_text")
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
+    texts = {"fingerprint": "text", "edited_fingerprint": "edited", "next_fingerprint": "next_text"}
+    likeness = {
+        "near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "next_fingerprint")
+    }
+    rows = fingerprint(rows, texts, likeness, keep=["doc_id", "n_chars", "edited_sha256"])
+    return rows.drop("next_fingerprint")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, next to the targets of its source."""
     rows = mixing_plan(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: those of fixed patterns, and all with inferred formats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = scan_secrets(docs, fit_formats(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        line = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(line, ",")
+
+    return rows.select(
+        "doc_id", number("assign"), number("access"), number("hex"), number("format"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, and whether it is rejected."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +93,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op5_fingerprints": op5_fingerprints,
     "op7_mixing": op7_mixing,
+    "op8_secrets": op8_secrets,
     "op10_toxicity": op10_toxicity,
 }
