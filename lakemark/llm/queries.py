@@ -9,6 +9,7 @@ from lakemark.llm.bpe import encode
 from lakemark.llm.common import table
 from lakemark.llm.fingerprints import fingerprint, with_successor
 from lakemark.llm.mixing import mixing_plan
+from lakemark.llm.pii import replace_pii
 from lakemark.llm.secret_scan import fit_formats, scan_secrets
 from lakemark.llm.toxicity import REJECT_AT, fit_toxicity, score_toxicity
 
@@ -81,6 +82,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data, and how many there are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, count="n_entities")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, and whether it is rejected."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,5 +103,6 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
