@@ -43,4 +43,9 @@ SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
 FROM counted
 """
 
-ORACLES = {"op7_mixing": MIXING}
+TOKEN_COUNTS = r"""
+SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+FROM documents
+"""
+
+ORACLES = {"op6_token_counts": TOKEN_COUNTS, "op7_mixing": MIXING}
