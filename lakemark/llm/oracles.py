@@ -48,4 +48,52 @@ SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]
 FROM documents
 """
 
-ORACLES = {"op6_token_counts": TOKEN_COUNTS, "op7_mixing": MIXING}
+EMBEDDINGS = """
+WITH RECURSIVE unit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND list_max(list_transform(embedding, lambda c: abs(c))) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON e.vec_id = least.a LEFT JOIN counted ON e.vec_id = counted.a
+"""
+
+NGRAM_JOIN = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS class_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT d.doc_id, class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links
+FROM documents d JOIN least ON d.doc_id = least.a LEFT JOIN counted ON d.doc_id = counted.a
+"""
+
+ORACLES = {
+    "op3_embeddings": EMBEDDINGS,
+    "op4_ngram_join": NGRAM_JOIN,
+    "op6_token_counts": TOKEN_COUNTS,
+    "op7_mixing": MIXING,
+}

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from lakemark.llm.bpe import encode
 from lakemark.llm.common import table
+from lakemark.llm.embedding_dedup import near_vectors
 from lakemark.llm.fingerprints import fingerprint, with_successor
 from lakemark.llm.mixing import mixing_plan
+from lakemark.llm.ngram_join import similar
 from lakemark.llm.pii import replace_pii
 from lakemark.llm.secret_scan import fit_formats, scan_secrets
 from lakemark.llm.token_counts import count_tokens, write_token_files
@@ -41,6 +43,19 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with a cosine of 0.95 or more."""
+    rows = near_vectors(table(spark, sf_dir, "embeddings"))
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return rows.select(F.col("id").alias("vec_id"), "n_links", "component_id", kept.alias("kept"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, by five-word sets and similarity 0.8."""
+    rows = similar(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     docs = with_successor(table(spark, sf_dir, "documents"))
@@ -118,6 +133,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_embeddings": op3_embeddings,
+    "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
