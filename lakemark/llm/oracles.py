@@ -48,6 +48,42 @@ SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]
 FROM documents
 """
 
+LM_SCORING = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words
+), pairs AS (
+  SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS prior FROM places
+), corpus AS (SELECT count(*) AS n FROM places),
+one AS (SELECT word, count(*) AS c FROM places GROUP BY word),
+own_one AS (SELECT doc_id, word, count(*) AS c FROM places GROUP BY doc_id, word),
+two AS (SELECT prior, word, count(*) AS c FROM pairs WHERE prior IS NOT NULL GROUP BY ALL),
+own_two AS (SELECT doc_id, prior, word, count(*) AS c FROM pairs WHERE prior IS NOT NULL GROUP BY ALL),
+sizes AS (SELECT doc_id, len(w) AS m FROM words),
+looked AS (
+  SELECT p.doc_id, p.prior,
+         coalesce(two.c - own_two.c, 0) AS pair, ctx.c - own_ctx.c AS context, one.c - own_one.c AS single,
+         greatest(n - m, 1) AS others
+  FROM pairs p JOIN sizes ON p.doc_id = sizes.doc_id CROSS JOIN corpus
+  JOIN one ON p.word = one.word
+  JOIN own_one ON p.doc_id = own_one.doc_id AND p.word = own_one.word
+  LEFT JOIN one ctx ON p.prior = ctx.word
+  LEFT JOIN own_one own_ctx ON p.doc_id = own_ctx.doc_id AND p.prior = own_ctx.word
+  LEFT JOIN two ON p.prior = two.prior AND p.word = two.word
+  LEFT JOIN own_two ON p.doc_id = own_two.doc_id AND p.prior = own_two.prior AND p.word = own_two.word
+), summed AS (
+  SELECT doc_id, sum(CASE
+    WHEN pair > 0 THEN log10(pair / context::DOUBLE)
+    WHEN prior IS NULL THEN log10(greatest(single, 1) / others::DOUBLE)
+    ELSE log10(0.4::DOUBLE) + log10(greatest(single, 1) / others::DOUBLE) END) AS score
+  FROM looked GROUP BY doc_id
+)
+SELECT sizes.doc_id, CAST(m AS BIGINT) AS n_words, round(coalesce(score, 0), 3) AS log10_score,
+       CASE WHEN m > 0 THEN round(score / m, 5) END AS log10_per_word
+FROM sizes LEFT JOIN summed ON sizes.doc_id = summed.doc_id
+"""
+
 EMBEDDINGS = """
 WITH RECURSIVE unit AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -92,6 +128,7 @@ FROM documents d JOIN least ON d.doc_id = least.a LEFT JOIN counted ON d.doc_id
 """
 
 ORACLES = {
+    "op2_lm_scoring": LM_SCORING,
     "op3_embeddings": EMBEDDINGS,
     "op4_ngram_join": NGRAM_JOIN,
     "op6_token_counts": TOKEN_COUNTS,

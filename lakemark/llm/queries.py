@@ -9,6 +9,7 @@ from lakemark.llm.bpe import encode
 from lakemark.llm.common import table
 from lakemark.llm.embedding_dedup import near_vectors
 from lakemark.llm.fingerprints import fingerprint, with_successor
+from lakemark.llm.lm_scoring import backoff_scores
 from lakemark.llm.mixing import mixing_plan
 from lakemark.llm.ngram_join import similar
 from lakemark.llm.pii import replace_pii
@@ -43,6 +44,16 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the bigram counts of all others."""
+    rows = backoff_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    mean = F.when(F.col("n_words") > 0, F.col("log10_score") / F.col("n_words"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_words", F.round("log10_score", 3).alias("log10_score"),
+        F.round(mean, 5).alias("log10_per_word"),
+    )
+
+
 def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors with a cosine of 0.95 or more."""
     rows = near_vectors(table(spark, sf_dir, "embeddings"))
@@ -133,6 +144,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_embeddings": op3_embeddings,
     "op4_ngram_join": op4_ngram_join,
     "op5_fingerprints": op5_fingerprints,
