@@ -1,13 +1,14 @@
-"""Toxicity: cumulative-link ordinal regression on the words of a text.
+"""Toxicity: cumulative-link ordinal regression on the words of a text and their stems.
 
 P(grade >= k) = sigmoid(score - threshold_k) with one score for all thresholds: the sum
-of the weights of the different words in the text. The expected severity is the sum of
-these probabilities over k.
+of the weights of the different features in the text, which are words and beginnings of
+words. The expected severity is the sum of these probabilities over k.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,13 +20,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemark.llm.common import packed, quoted, text_slices, unpacked
+from lakemark.llm.fingerprints import mixed
+from lakemark.llm.ngram_join import minhashes
+from lakemark.llm.pairing import local_roots
 
 #: Labelled rows that a fit reads at most.
-SAMPLE_ROWS = 10_000
-#: Documents of the sample that a word must occur in to be a feature.
-MIN_DOCS = 4
-L1 = 2e-4
-STEPS = 400
+SAMPLE_ROWS = 8_000
+#: Documents of the sample, near copies counting as one, that a feature must occur in.
+MIN_DOCS = 3
+#: Letters of the beginnings that are features; they stand for all inflected forms. One, two
+#: and three different words with a beginning are features of their own.
+STEMS = (4, 5, 6, 7)
+REPEATS = 3
+L1 = 1e-4
+STEPS = 500
 #: Expected severity from which a document is rejected.
 REJECT_AT = 0.5
 
@@ -34,7 +42,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class OrdinalModel:
-    """Word weights, ascending thresholds, and the grades they part."""
+    """Weights of words, and of beginnings that ``n`` words have or more, written
+    ``n^begin``; ascending thresholds, and the grades they part."""
 
     weights: dict[str, float]
     thresholds: tuple[float, ...]
@@ -59,34 +68,34 @@ def row_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def fit_ordinal(
     offsets: np.ndarray, columns: np.ndarray, n_columns: int, levels: np.ndarray, n_levels: int,
-    l1: float = L1, steps: int = STEPS,
+    row_weights: np.ndarray | None = None, l1: float = L1, steps: int = STEPS,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by accelerated proximal gradient on the cumulative logit loss.
 
-    Row i has the features ``columns[offsets[i]:offsets[i + 1]]``, each 1, and the level
-    ``levels[i]``. Levels count alike whatever their share of the rows. The penalty keeps
-    words that explain nothing at weight 0.
+    Row i has the features ``columns[offsets[i]:offsets[i + 1]]``, each 1, the level
+    ``levels[i]`` and its share of the loss. The penalty keeps features that explain
+    nothing at weight 0.
     """
     rows = len(levels)
+    share = np.ones(rows) if row_weights is None else row_weights
+    share = share / share.sum()
     row_of = np.repeat(np.arange(rows), np.diff(offsets))
-    counts = np.bincount(levels, minlength=n_levels)
-    share = (1.0 / (np.maximum(counts, 1) * max(1, (counts > 0).sum())))[levels]
     above = levels[:, None] > np.arange(n_levels - 1)[None, :]
-    weight, start = np.zeros(n_columns), above.mean(axis=0).clip(1e-3, 1 - 1e-3)
-    cuts = np.sort(-np.log(start / (1 - start)))
+    start = (share @ above).clip(1e-3, 1 - 1e-3)
+    weight, cuts = np.zeros(n_columns), np.maximum.accumulate(-np.log(start / (1 - start)))
     w, c, momentum = weight.copy(), cuts.copy(), 1.0
-    # The curvature is at most a quarter of the weighted squared row lengths; rows are
-    # scaled to length 1 for the step only, by a bound per feature.
+    # A bound of the curvature per feature: a quarter of the shares of its rows, times
+    # the features of such a row and the thresholds.
     load = np.bincount(columns, weights=(share * np.diff(offsets))[row_of], minlength=n_columns)
-    step_w, step_c = 1.0 / (0.25 * (n_levels - 1) * (load + 1e-3)), 2.0
+    step_w = 1.0 / (0.5 * (n_levels - 1) * np.maximum(load, 1e-6))
     for _ in range(steps):
         score = row_sums(w[columns], offsets)
-        # Gradient of sum_k log-loss(1[level > k], sigmoid(score - cut_k)).
+        # Gradient of the sum over k of log-loss(level > k, sigmoid(score - cut_k)).
         error = (sigmoid(score[:, None] - c[None, :]) - above) * share[:, None]
         slope = np.bincount(columns, weights=error.sum(axis=1)[row_of], minlength=n_columns)
         moved = w - step_w * slope
         moved = np.sign(moved) * np.maximum(np.abs(moved) - step_w * l1, 0.0)
-        cut = np.maximum.accumulate(c + step_c * error.sum(axis=0))
+        cut = np.maximum.accumulate(c + 2.0 * error.sum(axis=0))
         ahead = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
         w = moved + (momentum - 1) / ahead * (moved - weight)
         c = cut + (momentum - 1) / ahead * (cut - cuts)
@@ -94,6 +103,42 @@ def fit_ordinal(
     return weight, cuts
 
 
+def copy_shares(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set of word codes 1 / the number of sets that are nearly the same."""
+    full = [i for i, s in enumerate(sets) if len(s)]
+    shares = np.ones(len(sets))
+    if not full:
+        return shares
+    values = minhashes([mixed(sets[i].astype(np.uint64) + np.uint64(1)) for i in full], 24).reshape(len(full), 8, 3)
+    links = []
+    for band in range(8):
+        _, first, group = np.unique(values[:, band], axis=0, return_index=True, return_inverse=True)
+        links.append(first[group.ravel()])
+    root = local_roots(len(full), np.tile(np.arange(len(full)), 8), np.concatenate(links))
+    shares[full] = 1.0 / np.bincount(root, minlength=len(full))[root]
+    return shares
+
+
+def telling(
+    pair_rows: np.ndarray, pair_features: np.ndarray, n_features: int, positive: np.ndarray, shares: np.ndarray, min_docs: int
+) -> np.ndarray:
+    """Features that occur more often in positive rows than chance allows, all rows weighed by
+    ``shares``: the likelihood ratio statistic is above 2 log(number of features)."""
+    total = np.bincount(pair_features, weights=shares[pair_rows], minlength=n_features)
+    hit = np.bincount(pair_features, weights=(shares * positive)[pair_rows], minlength=n_features)
+    n, p = shares.sum(), (shares * positive).sum()
+    common = total >= min_docs - 1e-9
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 1e-9, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
+
+    ratio = 2 * (
+        part(hit, total * p / n) + part(total - hit, total * (n - p) / n)
+        + part(p - hit, (n - total) * p / n) + part(n - p - total + hit, (n - total) * (n - p) / n)
+    )
+    return np.flatnonzero(common & (hit * n > total * p) & (ratio >= 2 * np.log(max(common.sum(), 2))))
+
+
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     grade: str = "grade", sample_rows: int = SAMPLE_ROWS, min_docs: int = MIN_DOCS,
@@ -137,27 +182,62 @@ def fit_toxicity(
     if len(grades) < 2:
         return OrdinalModel({}, (), tuple(int(g) for g in grades))
     encoded = pc.dictionary_encode(lists.flatten())
-    names, codes = encoded.dictionary, encoded.indices.to_numpy()
+    words, codes = encoded.dictionary.to_pylist(), encoded.indices.to_numpy()
     sizes = pc.list_value_length(lists).to_numpy()
-    keep = np.bincount(codes, minlength=len(names)) >= min_docs
-    new_code = np.cumsum(keep) - 1
-    row_of = np.repeat(np.arange(len(sizes)), sizes)[keep[codes]]
-    columns = new_code[codes[keep[codes]]]
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(row_of, minlength=len(sizes)))])
-    weight, cuts = fit_ordinal(
-        offsets, columns, int(keep.sum()), levels, len(grades), l1, steps
-    )
-    chosen = np.flatnonzero(keep)
+    row_of = np.repeat(np.arange(len(sizes)), sizes)
+    shares = copy_shares(np.split(codes, np.cumsum(sizes)[:-1]))
+    # Each word has its own feature and one for each of its beginnings.
+    names: dict[str, int] = {}
+    of_word = np.full((len(words), 1 + len(STEMS)), -1, dtype=np.int64)
+    for i, word in enumerate(words):
+        of_word[i, 0] = names.setdefault(word, len(names))
+        for k, length in enumerate(STEMS):
+            if len(word) >= length:
+                of_word[i, 1 + k] = names.setdefault("1^" + word[:length], len(names))
+    spread = of_word[codes]
+    known = spread >= 0
+    pairs, times = np.unique(np.repeat(row_of, known.sum(axis=1)) * len(names) + spread[known], return_counts=True)
+    # The features of n words with a beginning follow those of n - 1.
+    listed, width = list(names), len(names)
+    names_of = listed + [f"{n}{f[1:]}" if f[0] == "1" else "" for n in range(2, REPEATS + 1) for f in listed]
+    parts = [np.divmod(pairs[times >= n], width) for n in range(1, REPEATS + 1)]
+    pair_rows = np.concatenate([r for r, _ in parts])
+    pair_features = np.concatenate([f + n * width for n, (_, f) in enumerate(parts)])
+    order = np.argsort(pair_rows, kind="stable")
+    pair_rows, pair_features = pair_rows[order], pair_features[order]
+    n_features = len(names_of)
+    chosen = telling(pair_rows, pair_features, n_features, levels > 0, shares, min_docs)
+    # Of features with the same rows the longest beginning is taken, else the word.
+    marks = np.bincount(pair_features, weights=np.random.default_rng(0).random(len(sizes))[pair_rows], minlength=n_features)
+    best: dict[float, int] = {}
+    for f in sorted(chosen.tolist(), key=lambda f: ("^" in names_of[f], len(names_of[f]), names_of[f])):
+        best[round(marks[f], 9)] = f
+    chosen = np.array(sorted(best.values()), dtype=np.int64)
+    new_code = np.full(n_features, -1)
+    new_code[chosen] = np.arange(len(chosen))
+    kept = new_code[pair_features] >= 0
+    columns = new_code[pair_features[kept]]
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(pair_rows[kept], minlength=len(sizes)))])
+    weight, cuts = fit_ordinal(offsets, columns, len(chosen), levels, len(grades), shares, l1, steps)
     return OrdinalModel(
-        {names[int(chosen[i])].as_py(): float(weight[i]) for i in np.flatnonzero(weight)},
-        tuple(float(c) for c in cuts), tuple(int(g) for g in grades),
+        {names_of[chosen[i]]: float(weight[i]) for i in np.flatnonzero(weight)}, tuple(float(c) for c in cuts), tuple(int(g) for g in grades)
     )
 
 
 def severities(model: OrdinalModel, texts: list[str | None]) -> np.ndarray:
     """Expected severity of each text, in grades."""
-    known = set(model.weights)
-    scores = np.array([sum(sorted(model.weights[w] for w in known.intersection(words_of(t)))) for t in texts])
+    features = model.weights
+    begins = {f.rpartition("^")[2][: STEMS[0]] for f in features}
+
+    def score(text: str | None) -> float:
+        near = [w for w in words_of(text) if w[: STEMS[0]] in begins]
+        if not near:
+            return 0.0
+        counts = Counter(w[:k] for w in near for k in STEMS if len(w) >= k)
+        found = {f"{n}^{b}" for b, c in counts.items() for n in range(1, min(c, REPEATS) + 1)}
+        return sum(sorted(features[f] for f in features.keys() & found.union(near)))
+
+    scores = np.array([score(t) for t in texts])
     steps = np.diff(np.array(model.grades, dtype=float))
     above = sigmoid(scores[:, None] - np.array(model.thresholds)[None, :])
     return model.grades[0] + (above * steps[None, :]).sum(axis=1)
