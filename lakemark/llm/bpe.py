@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,11 +27,18 @@ from lakemark.llm.common import packed, text_slices, unpacked, worker_state
 
 # The last byte of a word is a symbol of its own; it is written as a code point from here on.
 END = 0x10000
-# Words and pairs that a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+# Stretches, and words and pairs, that a worker remembers; beyond that it starts anew.
+REMEMBERED = 250_000
+REMEMBERED_WORDS = 100_000
 SPLIT_BY_PYTHON_ONLY = re.compile("[\x1c-\x1f]")
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# Stretches of these characters need no Unicode tables: composed, and lower case one by one.
+PLAIN = re.compile("[!-~À-ÖØ-Þß-öø-ÿ]*")
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 NEVER = 1 << 60
+# Letters of a byte-level vocabulary: printable Latin-1 stands for itself, the other
+# bytes follow from code point 256 on.
+OWN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in OWN_BYTES)}
 
 
 @dataclass
@@ -140,25 +148,28 @@ def encode_word(bpe: WordBPE, word: str) -> list[int]:
 def encode_chunk(bpe: WordBPE, chunk: str) -> bytes:
     """Ids of a stretch of text without blanks or line ends, as 32-bit integers."""
     ids: list[int] = []
-    for piece in bpe.parted.split(chunk) if bpe.parted else [chunk]:
+    pieces = bpe.parted.split(chunk) if bpe.parted and bpe.parted.search(chunk) else (chunk,)
+    for piece in pieces:
         if piece in bpe.specials:
             ids.append(bpe.specials[piece])
             continue
-        if piece.isascii() and piece.isprintable():
-            words = ASCII_WORDS.findall(piece.lower())
+        if PLAIN.fullmatch(piece):
+            words = PLAIN_WORDS.findall(piece.lower())
+            if not piece.isascii():
+                words = [w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words]
         else:
             normal = bpe.tokenizer.normalizer.normalize_str(piece)
             words = [w for w, _ in bpe.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
         for word in words:
             known = bpe.words.get(word)
             if known is None:
-                if len(bpe.words) >= REMEMBERED:
+                if len(bpe.words) >= REMEMBERED_WORDS:
                     bpe.words.clear()
                 known = encode_word(bpe, word)
                 if len(word) < 100:
                     bpe.words[word] = known
             ids += known
-    return np.array(ids, dtype=np.int32).tobytes()
+    return array("i", ids).tobytes()
 
 
 def encode_text(bpe: WordBPE, text: str | None) -> bytes:
