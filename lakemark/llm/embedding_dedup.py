@@ -73,9 +73,9 @@ def bucket_codes(vectors: np.ndarray, tables: int, hashes: int, probes: int, see
             loss[:, k] = (np.abs(value[:, :1]) - np.abs(value)) ** 2
         choices = [(0,) * hashes]
         choices += [tuple(d if i == k else 0 for i in range(hashes)) for k in range(hashes) for d in range(1, depth)]
-        choices += [
-            tuple(1 if i in (a, b) else 0 for i in range(hashes)) for a in range(hashes) for b in range(a + 1, hashes)
-        ]
+        if depth > 1:
+            both = [(a, b) for a in range(hashes) for b in range(a + 1, hashes)]
+            choices += [tuple(int(i in pair) for i in range(hashes)) for pair in both]
         cost = np.stack([sum(loss[:, k, d] for k, d in enumerate(c)) for c in choices], axis=1)
         scale = (2 * width) ** np.arange(hashes)
         code = np.stack([sum(best[:, k, d] * scale[k] for k, d in enumerate(c)) for c in choices], axis=1)

@@ -1,0 +1,115 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakemark.llm.mixing import mix, mixing_plan, source_targets
+from lakemark.llm.queries import graded_labels, op10_toxicity
+from lakemark.llm.toxicity import OrdinalModel, fit_ordinal, fit_toxicity, score_toxicity, severities
+
+
+def targets_by_hand(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    """Reshare what is above the limits until none is above."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, held = share * sum(sizes.values()), {}
+    while True:
+        rest = [s for s in names if s not in held]
+        level = (total - sum(held.values())) / sum(weight[s] for s in rest) if rest else 0
+        above = [s for s in rest if level * weight[s] > cap * sizes[s]]
+        if not above:
+            return held | {s: level * weight[s] for s in rest}
+        held |= {s: cap * sizes[s] for s in above}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_by_hand(spark, seed):
+    source = np.random.default_rng(seed)
+    names = [f"s{i}" for i in range(9)] + ["é", "Z"] + [None]
+    sizes = {n: int(s) for n, s in zip(names, source.integers(0, 4, len(names)) * source.integers(0, 1000, len(names)))}
+    frame = spark.createDataFrame(list(sizes.items()), "source STRING, source_size BIGINT")
+    got = {r.source: r.target for r in source_targets(frame).collect()}
+    assert got == pytest.approx(targets_by_hand(sizes), rel=1e-9, abs=1e-9)
+
+
+def test_mix_repeats_rows(docs, wide_docs, no_docs):
+    plan = {(r.doc_id, r.size): r.copies for r in mixing_plan(docs).collect()}
+    rows = mix(docs).groupBy("doc_id", "text").count().collect()
+    assert sum(r["count"] for r in rows) == sum(
+        r.copies for r in mixing_plan(docs).collect()
+    )
+    assert all(0 <= c <= 2 for c in plan.values())
+    assert mix(docs).columns == docs.columns
+    assert sorted(map(tuple, mix(docs).collect()), key=str) == sorted(map(tuple, mix(docs).collect()), key=str)
+    assert mix(wide_docs).columns == wide_docs.columns
+    assert mix(wide_docs).count() > 0
+    assert mixing_plan(no_docs).collect() == [] and mix(no_docs).collect() == []
+
+
+def test_taken_words_come_near_the_targets(spark):
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.pmod("id", F.lit(3))).alias("source"),
+        F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 7).cast("int")), " ").alias("text"),
+    )
+    got = mixing_plan(rows).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(r.taken == pytest.approx(r.target, rel=0.05) for r in got)
+
+
+def test_native_plan(docs):
+    for frame in (mixing_plan(docs), mix(docs)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct"))
+
+
+def test_ordinal_fit_orders_grades():
+    source = np.random.default_rng(0)
+    rows = [sorted({0} if level == 0 else {1} if level == 1 else {1, 2}) + [3 + int(source.integers(5))] for level in (0, 1, 2) for _ in range(60)]
+    offsets = np.cumsum([0, *map(len, rows)])
+    weight, cuts = fit_ordinal(offsets, np.concatenate(rows), 8, np.repeat([0, 1, 2], 60), 3)
+    assert cuts[0] <= cuts[1] and weight[2] > 0 and weight[1] > weight[0]
+    assert np.abs(weight[3:]).max() < 0.3
+
+
+def test_severity_is_bounded_and_monotone():
+    model = OrdinalModel({"bad": 4.0, "awful": 4.0}, (2.0, 6.0), (0, 1, 2))
+    values = severities(model, [None, "", "fine", "bad", "BAD, awful!", "bad bad"])
+    assert values[0] == values[1] == values[2] < values[3] == values[5] < values[4] < 2
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    """Fitted on one half of the labelled documents, right on most of the other."""
+    larger = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = spark.read.parquet(f"{larger}/documents.parquet"), graded_labels(spark, larger)
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
+    model = fit_toxicity(docs, labels.filter(half))
+    rows = score_toxicity(docs, model).join(labels.filter(~half), "doc_id").select("severity", "grade").collect()
+    toxic = [r.severity >= 0.5 for r in rows if r.grade > 0]
+    clean = [r.severity >= 0.5 for r in rows if r.grade == 0]
+    assert len(toxic) > 100 and np.mean(toxic) >= 0.7 and np.mean(clean) <= 0.005
+
+
+def test_stems_are_learned_from_inflected_words(spark):
+    """No inflected form occurs twice, and toxic documents have copies."""
+    source = np.random.default_rng(4)
+    syllables = ["".join(s) for s in source.choice(list("bdfgklmnprst"), (400, 3))]
+    rows = []
+    for i in range(400):
+        words = [syllables[k] + syllables[(k * 7 + i) % 400] for k in source.integers(0, 400, 30)]
+        toxic = i % 10 == 0
+        rows += [(len(rows) + c, " ".join(words + ["blarg" + syllables[i]] * toxic), int(toxic)) for c in range(3 if i % 50 == 0 else 1)]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, grade INT")
+    seen = F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0
+    model = fit_toxicity(frame, frame.filter(seen).select("doc_id", "grade"))
+    held = score_toxicity(frame.filter(~seen), model).collect()
+    assert all((r.severity >= 0.5) == (r.grade == 1) for r in held)
+
+
+def test_toxicity_edge_cases(spark, sf_dir, docs, wide_docs, no_docs):
+    none = spark.createDataFrame([], "doc_id BIGINT, grade INT")
+    model = fit_toxicity(docs, none)
+    assert [r.severity for r in score_toxicity(docs, model).collect()] == [0.0] * docs.count()
+    odd = spark.createDataFrame([(0, None), (None, 1), (1, 0), (1, 1), (5, 0), (99, 1)], "doc_id BIGINT, grade INT")
+    model = fit_toxicity(docs, odd, min_docs=1)
+    scored = score_toxicity(wide_docs, model, name="size")
+    assert scored.columns == wide_docs.columns and scored.count() == wide_docs.count()
+    assert score_toxicity(no_docs, model).collect() == []
+    assert op10_toxicity(spark, sf_dir).columns == ["doc_id", "severity", "rejected"]
