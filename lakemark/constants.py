@@ -37,6 +37,7 @@ DOC_COUNT = "NumOfAttacks"
 DOC_COUNTRIES = "Countries"
 DOC_YEARS = "Years"
 DOC_GROUPS = "GroupName"
+DOC_PART = "Part"
 DOC_COUNTRY = "Country"
 DOC_ENERGY_MEAN = "Average Production of Energy"
 DOC_DEFENSE_MEAN = "Average expenditure for Defense"

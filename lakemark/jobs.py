@@ -20,7 +20,7 @@ from lakemark.operators import profile
 from lakemark.operators.counts import count_by, count_claimed
 from lakemark.operators.joins import parametric_join
 from lakemark.plans import reports
-from lakemark.session import shared_folder, tune
+from lakemark.session import stored, tune
 from lakemark.sinks import write_documents, write_report
 from lakemark.sources import (
     dataset_name,
@@ -60,30 +60,42 @@ def parser() -> argparse.ArgumentParser:
     sink.add_argument("--out-mode", default="append")
     sink.add_argument("--out-option", type=_option, action="append", default=[])
 
+    lake = argparse.ArgumentParser(add_help=False)
+    lake.add_argument(
+        "--lake-option", type=_option, action="append", default=[],
+        help="option of the reader, such as encoding=ISO-8859-1",
+    )
+
     top = argparse.ArgumentParser(prog="lakemark")
     jobs = top.add_subparsers(dest="job", required=True)
     for name in LISTED_REPORTS:
         job = jobs.add_parser(name, parents=[source, sink])
         job.add_argument("--out", help="path of the report documents")
+        job.add_argument(
+            "--parts", type=int, default=1,
+            help="lists a count is spread over; 0 for a document per key",
+        )
     for name in INDICATOR_REPORTS:
-        job = jobs.add_parser(name, parents=[source, sink])
+        job = jobs.add_parser(name, parents=[source, sink, lake])
         job.add_argument("lake", help="wide indicator file")
         job.add_argument("out", nargs="?", help="folder of the text report")
         job.add_argument("--code", help="another indicator code")
         job.add_argument("--documents", action="store_true", help="save documents, not text")
+        job.add_argument("--many-files", action="store_true", help="write the text in parallel")
 
-    stored = argparse.ArgumentParser(add_help=False)
-    stored.add_argument("--metadata", help="path of the stored profiles, or of the documents")
-    stored.add_argument(
+    profiles = argparse.ArgumentParser(add_help=False)
+    profiles.add_argument("--metadata", help="path of the stored profiles, or of the documents")
+    profiles.add_argument(
         "--metadata-format", help="json, mongodb, ...: one set of profile documents"
     )
-    stored.add_argument("--metadata-option", type=_option, action="append", default=[])
+    profiles.add_argument("--metadata-option", type=_option, action="append", default=[])
 
-    job = jobs.add_parser("profile", parents=[stored])
+    job = jobs.add_parser("profile", parents=[profiles, lake])
     job.add_argument("lake", help="headered file")
     job.add_argument("sep")
+    job.add_argument("--schema", help="column types, which saves reading the file to infer them")
 
-    job = jobs.add_parser("join", parents=[source, sink, stored])
+    job = jobs.add_parser("join", parents=[source, sink, profiles, lake])
     job.add_argument("lake")
     job.add_argument("dataset", help="name the profile is stored under")
     job.add_argument("sep", choices=[COMMA, SEMICOLON])
@@ -96,22 +108,30 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("collection")
     job.add_argument("--sep", default=",")
     job.add_argument("--multiline", action="store_true")
+    job.add_argument("--schema", help="column types, which saves reading the file to infer them")
+    job.add_argument("--csv-option", type=_option, action="append", default=[])
     return top
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "ingest":
-        ingest_csv(spark, args.csv, args.collection, sep=args.sep, multiline=args.multiline)
+        ingest_csv(
+            spark, args.csv, args.collection, args.schema, args.sep, args.multiline,
+            **dict(args.csv_option),
+        )
         return
     if args.job == "profile":
-        columns = profile.profile_columns(read_table(spark, args.lake, args.sep))
-        stored = profile.metadata(columns, dataset_name(args.lake))
+        table = read_table(spark, args.lake, args.sep, args.schema, **dict(args.lake_option))
+        dataset = dataset_name(args.lake)
+        # Stored, so that showing and saving it do not profile twice.
+        columns = stored(profile.profile_columns(table), "profile")
+        profile.candidates(columns).orderBy("column_index").show(truncate=False)
+        found = profile.metadata(columns, dataset)
         if args.metadata_format:
-            found = profile.documents(stored)
-            options = dict(args.metadata_option)
-            write_documents(found, args.metadata, args.metadata_format, "overwrite", **options)
+            place, options = _documents_of(args, dataset)
+            write_documents(profile.documents(found), place, args.metadata_format, "overwrite", **options)
         else:
-            profile.save(stored, args.metadata)
+            profile.save(found, args.metadata)
         return
 
     events = read_events(spark, args.events, args.events_format, **dict(args.events_option))
@@ -120,33 +140,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         counts = count_claimed(events) if key == CLAIMANT_FIELD else count_by(events, key)
         if key == COUNTRY_FIELD:
             # Stored, so that the preview and the report share one event scan.
-            shared_folder(spark)
-            counts = counts.checkpoint()
+            counts = stored(counts, "counts")
             reports.top_counts(counts, key).show(truncate=False)
-        _save(documents(reports.listed(counts, key)), args)
+        _save(documents(reports.listed(counts, key, args.parts or None)), args)
     elif args.job in INDICATOR_REPORTS:
         code, documents = INDICATOR_REPORTS[args.job]
-        lines = strip_header(read_lines(spark, args.lake))
+        lines = strip_header(read_lines(spark, args.lake, **dict(args.lake_option)))
         report = reports.indicator_report(events, lines, args.code or code)
         if args.documents:
             _save(documents(report), args)
         else:
-            write_report(report, args.out)
+            write_report(report, args.out, single_file=not args.many_files)
     else:
-        if args.metadata_format:
-            reader = spark.read.format(args.metadata_format)
-            reader = reader.options(**dict(args.metadata_option))
-            found = reader.load(args.metadata) if args.metadata else reader.load()
-            index = profile.key_of_documents(found)
-        else:
-            index = profile.load_key(spark, args.metadata, args.dataset)
+        lines = strip_header(read_lines(spark, args.lake, **dict(args.lake_option)))
+        index = _stored_key(spark, args)
+        for given in (events, lines):
+            reports.preview(given).show(truncate=False)
         joined = parametric_join(
-            events,
-            strip_header(read_lines(spark, args.lake)),
-            args.sep,
-            index,
-            strict=not args.skip_short_lines,
-            as_text=args.as_text,
+            events, lines, args.sep, index, strict=not args.skip_short_lines, as_text=args.as_text
         )
         if args.out:
             _save(joined, args)
@@ -154,6 +165,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             reports.preview(joined).show(truncate=False)
 
 
+def _documents_of(args: argparse.Namespace, dataset: str) -> tuple[str | None, dict[str, str]]:
+    """Where the profile documents of a dataset are: a sub-path of its own or, in a store
+    without paths, a collection of its own."""
+    options = dict(args.metadata_option)
+    if args.metadata:
+        return profile.dataset_place(args.metadata, dataset), options
+    return None, {"collection": dataset} | options
+
+
+def _stored_key(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Key column index of the dataset's profile, in either form; fails if there is none."""
+    if not args.metadata_format:
+        return profile.load_key(spark, args.metadata, args.dataset)
+    place, options = _documents_of(args, args.dataset)
+    reader = spark.read.format(args.metadata_format).options(**options)
+    return profile.key_of_documents(reader.load(place) if place else reader.load())
+
+
 def _save(documents: DataFrame, args: argparse.Namespace) -> None:
     write_documents(
         documents, args.out, args.out_format, args.out_mode, **dict(args.out_option)

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from lakemark.constants import CLAIMANT_FIELD
 from lakemark.functions.events import is_claimed, quoted_name
 
-# Keys per list row. A popular count (say, 1) may be shared by a large part of
-# all keys, so one row per count would be unbounded.
-PART_SIZE = 10_000
-
 
 def count_by(events: DataFrame, key: str) -> DataFrame:
     """Events per value of ``key``, as ``(key, n BIGINT)``; null is a value.
@@ -49,23 +45,31 @@ def parts_needed(items: Column, part_size: int) -> Column:
     return F.ceil(items / F.lit(part_size)).cast("bigint")
 
 
-def keys_by_count(counts: DataFrame, key: str, part_size: int = PART_SIZE) -> DataFrame:
-    """Keys that share a count, as ``(n, part, keys ARRAY)``.
-
-    Lists are sorted and keep a null key. A count shared by more than
-    ``part_size`` keys is spread over several rows by a hash of the key, so no
-    row grows with the data; all rows of a count together hold all its keys.
+def keys_by_count(
+    counts: DataFrame, key: str, parts: int | None = 1, part_size: int | None = None
+) -> DataFrame:
+    """Keys that share a count, in the layout that the caller picks.
+
+    ``parts=None``: rows ``(n, key)``, one per key, which no amount of data makes long.
+    ``parts=1``: one list for each count, ``(n, keys ARRAY)``; a list is as long as the
+    number of keys that share the count, so this is for keys that are few.
+    ``parts=P``: every count as P lists, ``(n, part, keys)``, by a hash of the key; lists
+    without keys are left out. ``part_size=S``: as many lists for a count as S keys a list
+    need, about. All lists of a count together hold all its keys, sorted within a
+    list; a null key is kept.
     """
-    sharing = counts.groupBy("n").agg(F.count("*").alias("sharing"))
-    # k distinct counts need at least k(k-1)/2 events, so a trillion events
-    # give at most 1.5 million of these 16-byte rows: safe to broadcast. The
-    # shuffle below `counts` is reused for both sides.
-    parts = F.broadcast(sharing.select("n", parts_needed(F.col("sharing"), part_size).alias("of")))
     item = quoted_name(key)
-    placed = counts.join(parts, "n").select(
-        "n", part_number(item.cast("string"), F.col("of")).alias("part"), item.alias("key")
-    )
+    if parts is None and part_size is None:
+        return counts.select("n", item.alias("key"))
+    if part_size is not None:
+        sharing = counts.groupBy("n").agg(F.count("*").alias("sharing"))
+        of = sharing.select("n", parts_needed(F.col("sharing"), part_size).alias("of"))
+        placed, number = counts.join(of, "n"), F.col("of")
+    else:
+        placed, number = counts, F.lit(parts)
+    part = part_number(item.cast("string"), number)
     # Collected as structs: collecting a bare column would lose the null key.
-    return placed.groupBy("n", "part").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("key"))), lambda s: s.key).alias("keys")
-    )
+    keys = F.transform(F.array_sort(F.collect_list(F.struct("key"))), lambda s: s.key).alias("keys")
+    if parts == 1 and part_size is None:
+        return placed.select("n", item.alias("key")).groupBy("n").agg(keys)
+    return placed.select("n", part.alias("part"), item.alias("key")).groupBy("n", "part").agg(keys)

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from math import ceil
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakemark.constants import COMMA, COUNTRY_FIELD, SEMICOLON
 from lakemark.functions.events import quoted_name, row_text
@@ -18,19 +15,14 @@ from lakemark.functions.lines import (
     series_mean,
 )
 from lakemark.operators import profile
-from lakemark.operators.counts import PART_SIZE, count_by, part_number, parts_needed
-from lakemark.session import shared_folder
+from lakemark.operators.counts import count_by, part_number, parts_needed
+from lakemark.session import stored
 from lakemark.sources.lake import read_lines, strip_header
 
 # A side is broadcast only when it was measured to be at most this large.
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_BYTES = 64
 
-# A key is hot when it has more rows than one task should join. Large data
-# raises that number, so that fewer than MAX_HOT_KEYS keys can be hot.
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
-
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of all rows in a hash table, from one aggregation; one number returned.
@@ -45,67 +37,34 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 
-def hot_keys(df: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``rows`` rows, as ``(key, salts INT)``; None if none.
-
-    ``salts`` is how many times ``rows`` the key has. Where total / rows would
-    allow more than ``MAX_HOT_KEYS`` such keys, ``rows`` is raised to rule that
-    out. So the hot keys are among that many most frequent ones, which are
-    read to the driver in the same pass that adds up the total and come back
-    as a small local table.
-    """
-    total = Observation()
-    frequent = (
-        df.filter(quoted_name(key).isNotNull())
-        .groupBy(quoted_name(key).alias(key))
-        .agg(F.count("*").alias("n"))
-        .observe(total, F.sum("n").alias("rows"))
-        .filter(F.col("n") > rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not frequent:
-        return None
-    limit = max(rows, total.get["rows"] / MAX_HOT_KEYS)
-    hot = [(row[key], ceil(row.n / limit)) for row in frequent if row.n > limit]
-    schema = T.StructType([df.schema[key], T.StructField("salts", T.IntegerType())])
-    return df.sparkSession.createDataFrame(hot, schema) if hot else None
-
-
 def match_on_key(
-    events: DataFrame,
-    lines: DataFrame,
-    key: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int | None = HOT_ROWS,
+    events: DataFrame, lines: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Inner equi-join that keeps every pair; null keys pair with nothing.
 
     Measured small, ``lines`` is broadcast and the events are not shuffled; a
     negative ``broadcast_bytes`` saves the measuring where they surely are not.
-    Beyond that both sides are shuffled, and the rows of a hot event key are
-    spread over several tasks, each with a copy of that key's lines. A key
-    that is hot among the lines is left to the skew handling of AQE, and so are
-    all keys without ``hot_rows``.
+    Beyond that both sides are shuffled and joined by sort and merge, and AQE
+    splits a key that is hot on either side. The result has the same columns
+    and rows either way. It holds all pairs of a key, so it grows with the
+    product of a key's events and lines.
     """
+    clash = (set(events.columns) & set(lines.columns)) - {key}
+    if clash:
+        raise ValueError(f"rename these event fields, the result has its own: {sorted(clash)}")
     if broadcast_bytes >= 0 and measured_bytes(lines) <= broadcast_bytes:
         return events.join(F.broadcast(lines), key)
-    hot = hot_keys(events, key, hot_rows) if hot_rows else None
-    if hot is None:
-        return events.join(lines, key)
-    # Partition number plus row hash: the same when a task is run again, and
-    # spread out both for equal rows and for rows of one partition.
-    plain = [f.name for f in events.schema if isinstance(f.dataType, T.AtomicType)]
-    spread = F.hash(*[quoted_name(c) for c in plain]).cast("bigint") + F.spark_partition_id()
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    left = events.join(F.broadcast(hot), key, "left").withColumn(
-        "salt", F.pmod(spread, salts).cast("int")
-    )
-    right = lines.join(F.broadcast(hot), key, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), salts - 1))
-    )
-    return left.drop("salts").join(right.drop("salts"), [key, "salt"]).drop("salt")
+    return events.join(lines, key)
+
+
+def having_lines(
+    events: DataFrame, lines: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The events whose key some line has; each once, where they are if the keys are few."""
+    keys = lines.select(key).distinct()
+    if broadcast_bytes >= 0 and measured_bytes(keys) <= broadcast_bytes:
+        keys = F.broadcast(keys)
+    return events.join(keys, key, "left_semi").select(*[quoted_name(c) for c in events.columns])
 
 
 def keyed_indicator_lines(lines: DataFrame, code: str, key: str = "first_comma") -> DataFrame:
@@ -139,7 +98,8 @@ def indicator_matches(
 
     ``(country_txt, line, event, copies)``: one row per event and distinct
     line, ``copies`` being how often the line occurs. This is the group of a
-    (country, line) pair in rows, so a hot country is never one group.
+    (country, line) pair in rows, so a hot country is never one group; of course
+    there are as many rows as pairs.
     """
     texts = events.select(quoted_name(COUNTRY_FIELD), row_text(events).alias("event"))
     keyed = keyed_indicator_lines(lines, code, key)
@@ -153,42 +113,44 @@ def indicator_match_lists(
     lines: DataFrame,
     code: str,
     key: str = "first_comma",
-    part_size: int = PART_SIZE,
-    **limits,
+    parts: int = 1,
+    part_size: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The same matches, nested per (country, line).
+    """The same matches, nested per (country, line), in the layout that the caller picks.
 
     ``(country_txt, line, copies, part, events ARRAY<STRUCT<event, times>>)``.
-    Equal texts are counted first; the texts of a country are then spread over
-    one part per ``part_size`` events by a hash, and collected. A list is built once per country part, before the join, not
+    Equal texts are counted first. Every country has ``parts`` lists, one by
+    default, or with ``part_size`` as many as that number of events a list
+    need, about; the texts are spread over them by a hash. ``indicator_matches`` is
+    the form without lists. Events of countries without a line are left out before
+    anything is shuffled; a list is built once per country part, before the join, not
     once per line.
     """
-    located = events.filter(quoted_name(COUNTRY_FIELD).isNotNull())
-    # One row per country from a scan of one column; stored, because it is
-    # measured and then joined.
-    shared_folder(events.sparkSession)
-    parts = (
-        count_by(located, COUNTRY_FIELD)
-        .select(COUNTRY_FIELD, parts_needed(F.col("n"), part_size).alias("of"))
-        .checkpoint()
+    keyed = keyed_indicator_lines(lines, code, key)
+    located = having_lines(
+        events.filter(quoted_name(COUNTRY_FIELD).isNotNull()), keyed, COUNTRY_FIELD, broadcast_bytes
     )
     texts = (
         located.select(quoted_name(COUNTRY_FIELD), row_text(located).alias("event"))
         .groupBy(COUNTRY_FIELD, "event")
         .agg(F.count("*").alias("times"))
     )
-    # Looking for hot keys would group the texts, or build the lists, once
-    # more; AQE does in both joins, given a shuffle of its own behind the first.
-    limits = limits | {"hot_rows": None}
+    number = F.lit(parts)
+    if part_size is not None:
+        # One row per country from a scan of one column; stored, because it is
+        # measured and then joined.
+        counts = count_by(located, COUNTRY_FIELD)
+        needed = counts.select(COUNTRY_FIELD, parts_needed(F.col("n"), part_size).alias("of"))
+        texts = match_on_key(texts, stored(needed, "parts"), COUNTRY_FIELD, broadcast_bytes)
+        number = F.col("of")
     lists = (
-        match_on_key(texts, parts, COUNTRY_FIELD, **limits)
-        .withColumn("part", part_number(F.col("event"), F.col("of")))
+        texts.withColumn("part", part_number(F.col("event"), number))
         .repartition(COUNTRY_FIELD, "part")
         .groupBy(COUNTRY_FIELD, "part")
         .agg(F.array_sort(F.collect_list(F.struct("event", "times"))).alias("events"))
     )
-    keyed = keyed_indicator_lines(lines, code, key)
-    return match_on_key(lists, keyed, COUNTRY_FIELD, **limits).select(
+    return match_on_key(lists, keyed, COUNTRY_FIELD, broadcast_bytes).select(
         COUNTRY_FIELD, "line", "copies", "part", "events"
     )
 
@@ -221,12 +183,15 @@ def parametric_join(
 
     Gives the event columns and ``line``; with ``as_text`` it gives
     ``(country_txt, event, line)``, the whole event as one text. ``strict``
-    fails on a line without that field, otherwise the line joins nothing.
+    fails on a line without that field, otherwise the line joins nothing. The text is
+    made after the join, so that typed columns are shuffled and not their text. An event
+    field named ``line`` is refused.
     """
-    keyed = keyed_lines(lines, sep, index, strict)
+    joined = match_on_key(events, keyed_lines(lines, sep, index, strict), COUNTRY_FIELD, **limits)
     if as_text:
-        events = events.select(quoted_name(COUNTRY_FIELD), row_text(events).alias("event"))
-    return match_on_key(events, keyed, COUNTRY_FIELD, **limits)
+        text = row_text(events, events.columns).alias("event")
+        return joined.select(quoted_name(COUNTRY_FIELD), text, "line")
+    return joined
 
 
 def join_profiled(

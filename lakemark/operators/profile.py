@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,22 +20,28 @@ from lakemark.constants import (
 )
 from lakemark.functions.events import quoted_name
 
-# A longer value is replaced by its digest before the shuffle: profiling a
-# column of whole texts must not move the texts.
-LONGEST_PLAIN_VALUE = 64
 
+def digest(value: Column) -> Column:
+    """What stands for a text value in a shuffle: its SHA-256, null for null.
 
-def sentinels(value: Column, mark: str = "") -> Column:
-    """A null, or one of the texts that stand for "no value"; never null.
-
-    ``mark`` is what the values carry in front.
+    Profiling a column of whole texts must not move the texts, and short values are
+    treated alike: values are different exactly if their digests are.
     """
-    return value.isNull() | F.coalesce(value.isin(*[mark + t for t in SENTINEL_TEXTS]), F.lit(False))
+    return F.unhex(F.sha2(value, 256))
+
+
+def sentinels(value: Column) -> Column:
+    """A null, or one of the texts that stand for "no value"; never null. Takes digests."""
+    texts = [digest(F.lit(t)) for t in SENTINEL_TEXTS]
+    return value.isNull() | F.coalesce(value.isin(*texts), F.lit(False))
 
 
 def distinct_groups(df: DataFrame, column: str) -> DataFrame:
-    """Number of groups of one column, of any type; null is a group."""
+    """Number of groups of one column, of any type; null is a group. Texts are shuffled as
+    digests."""
     value = quoted_name(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        value = digest(value)
     return df.agg(
         (F.count_distinct(value) + F.coalesce(F.max(value.isNull().cast("int")), F.lit(0))).alias(
             "different_values"
@@ -67,22 +74,15 @@ def profile_columns(df: DataFrame) -> DataFrame:
     """Groups and sentinel groups of every text column, in one pass.
 
     The scan reads the text columns only. Rows are unpivoted and grouped by
-    (column, value): equal values meet before the shuffle, and the hash of the
-    pair spreads a wide column over all tasks.
+    (column, digest): equal values meet before the shuffle, and the hash of the
+    pair spreads a wide column over all tasks. Distinctness is by SHA-256.
     """
-    # The mark in front keeps a plain value apart from a digest.
-    def token(value: Column) -> Column:
-        short = F.octet_length(value) <= LONGEST_PLAIN_VALUE
-        return F.when(short, F.concat(F.lit("="), value)).when(
-            value.isNotNull(), F.concat(F.lit("#"), F.sha2(value, 256))
-        )
-
     return (
-        _groups(df, token)
+        _groups(df, digest)
         .groupBy("column_index", "column_name")
         .agg(
             F.count("*").alias("different_values"),
-            F.sum(sentinels(F.col("value"), "=").cast("bigint")).alias("sentinel_groups"),
+            F.sum(sentinels(F.col("value")).cast("bigint")).alias("sentinel_groups"),
         )
     )
 
@@ -177,6 +177,11 @@ def documents(stored: DataFrame) -> DataFrame:
     )
 
 
+def dataset_place(place: str, dataset: str) -> str:
+    """Sub-path of one dataset's profile documents."""
+    return f"{place.rstrip('/')}/{quote(dataset, safe='')}"
+
+
 def load_metadata(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Stored profile of one dataset; reads only its folder."""
     schema = "column_number INT, different_values BIGINT, key_column INT, dataset STRING"

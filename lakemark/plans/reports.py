@@ -15,41 +15,50 @@ from lakemark.constants import (
     DOC_DEFENSE_MEAN,
     DOC_ENERGY_MEAN,
     DOC_GROUPS,
+    DOC_PART,
     DOC_YEARS,
     ENERGY_CODE,
     YEAR_FIELD,
 )
-from lakemark.functions.events import list_text
-from lakemark.operators.counts import PART_SIZE, count_by, count_claimed, keys_by_count
-from lakemark.operators.joins import indicator_means
+from lakemark.functions.events import list_text, quoted_name
+from lakemark.operators.counts import count_by, count_claimed, keys_by_count
+from lakemark.operators.joins import BROADCAST_BYTES, indicator_means, match_on_key
+from lakemark.session import stored
 
 
-def listed(counts: DataFrame, key: str, part_size: int = PART_SIZE) -> DataFrame:
-    """Keys by their count, most first: ``(n, part, keys)``."""
-    return keys_by_count(counts, key, part_size).orderBy(F.desc("n"), "part")
+def listed(
+    counts: DataFrame, key: str, parts: int | None = 1, part_size: int | None = None
+) -> DataFrame:
+    """Keys by their count, most first, in a layout of ``keys_by_count``."""
+    rows = keys_by_count(counts, key, parts, part_size)
+    second = [c for c in ("part", "key") if c in rows.columns]
+    return rows.orderBy(F.desc("n"), *second)
 
 
 def top_counts(counts: DataFrame, key: str, k: int = 5) -> DataFrame:
     """The ``k`` keys with the largest counts, ties by name."""
-    return counts.orderBy(F.desc("n"), F.asc(key)).limit(k)
+    return counts.orderBy(F.desc("n"), quoted_name(key).asc()).limit(k)
 
 
-def most_attacked_countries(events: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Countries by their number of events, most first: ``(n, part, keys)``."""
-    return listed(count_by(events, COUNTRY_FIELD), COUNTRY_FIELD, part_size)
+def most_attacked_countries(events: DataFrame, parts: int | None = 1) -> DataFrame:
+    """Countries by their number of events, most first: ``(n, keys)``."""
+    return listed(count_by(events, COUNTRY_FIELD), COUNTRY_FIELD, parts)
 
 
-def attacks_per_year(events: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Years by their number of events, most first: ``(n, part, keys)``."""
-    return listed(count_by(events, YEAR_FIELD), YEAR_FIELD, part_size)
+def attacks_per_year(events: DataFrame, parts: int | None = 1) -> DataFrame:
+    """Years by their number of events, most first: ``(n, keys)``."""
+    return listed(count_by(events, YEAR_FIELD), YEAR_FIELD, parts)
 
 
 def claimed_attacks(
-    events: DataFrame, part_size: int = PART_SIZE, keep_unclaimed: bool = True
+    events: DataFrame, parts: int | None = None, part_size: int | None = None, keep_unclaimed: bool = True
 ) -> DataFrame:
-    """Claiming groups by their number of events, most first: ``(n, part, keys)``."""
+    """Claiming groups by their number of events, most first.
+
+    Rows ``(n, key)`` unless lists are asked for: a large part of all names may share a count.
+    """
     counts = count_claimed(events, keep_unclaimed=keep_unclaimed)
-    return listed(counts, CLAIMANT_FIELD, part_size)
+    return listed(counts, CLAIMANT_FIELD, parts, part_size)
 
 
 def top_k(events: DataFrame, k: int = 5, key: str = COUNTRY_FIELD) -> DataFrame:
@@ -69,6 +78,7 @@ def indicator_report(
     key: str = "first_comma",
     empty: str = "zero",
     bad: str = "error",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Event count and indicator mean per country: ``(n, country_txt, mean)``.
 
@@ -76,12 +86,13 @@ def indicator_report(
     lines give one. Events are counted before the join, so one row per country
     meets the lines instead of every event.
     """
-    counts = count_by(events.filter(F.col(COUNTRY_FIELD).isNotNull()), COUNTRY_FIELD)
+    located = events.filter(F.col(COUNTRY_FIELD).isNotNull())
+    # Stored, so that they can be measured, and so that beyond the broadcast limit both
+    # sides of the join are plain shuffled rows and AQE can split a hot country.
+    counts = stored(count_by(located, COUNTRY_FIELD), "counts")
     means = indicator_means(lines, code, key, empty, bad)
-    # Both sides are aggregates. Which one to broadcast, if any, is left to
-    # AQE: it knows their sizes by then and splits a skewed key.
     return (
-        counts.join(means, COUNTRY_FIELD)
+        match_on_key(means, counts, COUNTRY_FIELD, broadcast_bytes)
         .select("n", COUNTRY_FIELD, "mean")
         .orderBy(F.desc("n"), COUNTRY_FIELD, "mean")
     )
@@ -102,7 +113,9 @@ def country_documents(report: DataFrame) -> DataFrame:
 
 
 def year_documents(report: DataFrame) -> DataFrame:
-    return _list_documents(report, DOC_YEARS)
+    """Documents of the years, which name the years before the count."""
+    documents = _list_documents(report, DOC_YEARS)
+    return documents.select(DOC_YEARS, *[c for c in documents.columns if c != DOC_YEARS])
 
 
 def group_documents(report: DataFrame) -> DataFrame:
@@ -110,8 +123,16 @@ def group_documents(report: DataFrame) -> DataFrame:
 
 
 def _list_documents(report: DataFrame, list_field: str) -> DataFrame:
-    """Documents of a listed report, the list as text; one per list row."""
-    return report.select(F.col("n").alias(DOC_COUNT), list_text(F.col("keys")).alias(list_field))
+    """Documents of a listed report, one per row: the list, or the one key, as text.
+
+    Several lists of one count are told apart by their part.
+    """
+    if "keys" in report.columns:
+        text = list_text(F.col("keys"))
+    else:
+        text = list_text(F.array("key"))
+    part = [F.col("part").alias(DOC_PART)] if "part" in report.columns else []
+    return report.select(F.col("n").alias(DOC_COUNT), *part, text.alias(list_field))
 
 
 def energy_documents(report: DataFrame) -> DataFrame:
@@ -132,10 +153,12 @@ def _mean_documents(report: DataFrame, mean_field: str) -> DataFrame:
 
 
 def report_lines(report: DataFrame) -> DataFrame:
-    """An indicator report as ``(n,(country,mean))`` text, keeping its columns."""
-    text = F.concat(
-        F.lit("("), F.col("n").cast("string"),
-        F.lit(",("), F.col(COUNTRY_FIELD),
-        F.lit(","), F.col("mean").cast("string"), F.lit("))"),
+    """An indicator report as ``(n,(country,mean))`` text, keeping its columns.
+
+    What is null is written as ``null``.
+    """
+    n, country, mean = (
+        F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("n", COUNTRY_FIELD, "mean")
     )
+    text = F.concat(F.lit("("), n, F.lit(",("), country, F.lit(","), mean, F.lit("))"))
     return report.withColumn("value", text)

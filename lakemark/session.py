@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Start with many shuffle partitions and let AQE merge the small ones: a fixed
-# low number cannot spread a large shuffle, a fixed high one wastes tasks on a
-# small report. At 128 MB a task, 20,000 partitions carry 2.5 TB of shuffled
-# rows without spilling; the reports shuffle partial counts, far less than that.
+# The number of shuffle partitions is not among these: it depends on the job, so it
+# is left to the session, or to ``shuffle_partitions`` given what a job will shuffle.
 SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
@@ -31,18 +29,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(shuffled_bytes: int, cores: int, task_bytes: int = 128 << 20) -> int:
+    """Partitions for a shuffle of that size: tasks of ``task_bytes``, all cores busy."""
+    return max(cores, -(-shuffled_bytes // task_bytes))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Only a session whose tasks run in its own process may fall back to a folder of its
+    own; a cluster of local processes may not. Checkpoints go below the same folder.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named and not context.getCheckpointDir():
-        context.setCheckpointDir(named)
-    if named or context.getCheckpointDir():
-        return named or context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    named, set_to = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if named:
+        if not set_to or named.rstrip("/").removeprefix("file://") not in set_to:
+            context.setCheckpointDir(named)
+        return named
+    if set_to:
+        return set_to
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lakemark-"))
     return context.getCheckpointDir()
@@ -51,3 +57,14 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is there yet."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Its lineage ends there, it is computed once however often it is read, and a join
+    with it is between plain shuffled rows, which AQE can split.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Writers; none of them brings more than a checked number of rows together."""
+"""Writers; rows come together in one file only where the caller asks for it."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from lakemark.constants import COUNTRY_FIELD
 from lakemark.operators.profile import column_values
 from lakemark.plans.reports import report_lines
-from lakemark.session import shared_folder
-
-# A report with more rows is written as several files.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def write_documents(
@@ -30,28 +26,28 @@ def write_documents(
     writer.save(path) if path else writer.save()
 
 
-def write_report(report: DataFrame, path: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
+def write_report(report: DataFrame, path: str, single_file: bool = False) -> None:
     """Write an indicator report as text, most events first; fails if ``path`` is there.
 
-    The report is computed once, into the shared folder, and counted. Up to
-    ``single_file_rows`` it becomes one file; a larger one becomes several
-    whose names continue the order.
+    Files are named in the order of the rows. ``single_file`` writes one file, in one
+    task: for reports of countries, not for keys that grow with the data. The rows are
+    sorted here once; an order they come in is dropped by the optimizer.
     """
-    shared_folder(report.sparkSession)
-    stored = report.checkpoint()
     order = [F.desc("n"), F.asc(COUNTRY_FIELD), F.asc("mean")]
-    if stored.count() <= single_file_rows:
-        ordered = stored.coalesce(1).sortWithinPartitions(*order)
+    if single_file:
+        ordered = report.repartition(1).sortWithinPartitions(*order)
     else:
-        ordered = stored.orderBy(*order)
+        ordered = report.orderBy(*order)
     report_lines(ordered).select("value").write.text(path)
 
 
-def write_column_values(df: DataFrame, path: str) -> None:
+def write_column_values(df: DataFrame, path: str, files_per_column: int = 1) -> None:
     """Save the distinct values of every text column, a folder per column.
 
-    Values arrive hashed by (column, value), so a column with many values is
-    written by many tasks.
+    A column has ``files_per_column`` files at most, each written by one task and
+    holding the values of one hash; give more for columns with very many values.
     """
     values = column_values(df).withColumn("column", F.col("column_index"))
+    share = F.pmod(F.xxhash64("value"), F.lit(files_per_column))
+    values = values.withColumn("file_", share).repartition("column", "file_")
     values.select("column", "value").write.mode("overwrite").partitionBy("column").parquet(path)

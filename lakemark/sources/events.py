@@ -41,7 +41,8 @@ def read_events(
 def typed_events(df: DataFrame) -> DataFrame:
     """Give the report fields their declared types.
 
-    A field the collection does not have is null; other columns pass through.
+    A field the collection does not have is null; other columns pass through. The text of
+    a row then shows that null: all events of a collection have one layout.
     """
     typed = {}
     for field in EVENT_FIELDS:
@@ -62,12 +63,21 @@ def ingest_csv(
     """Load a headered CSV into the event collection, replacing what is there.
 
     A blank text cell is stored as an empty text, a blank number as null.
-    Multi-line cells make a file one task's work, so they are off by default.
-    ``options`` go to the CSV reader, such as ``encoding``.
+    Multi-line cells make a file one task's work, so they are off by default. A
+    row that does not fit the columns or their types, such as half of a cell with a line
+    break, fails the load; the collection, replaced in place, is then not there. ``options`` go to the CSV reader, such as
+    ``encoding``; ``mode="PERMISSIVE"`` takes broken rows as they come.
     """
+    options = {"mode": "FAILFAST"} | options
     reader = spark.read.options(header=True, sep=sep, multiLine=multiline, **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     table = reader.csv(source)
     texts = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]
     filled = {name: F.coalesce(quoted_name(name), F.lit("")) for name in texts}
-    table.withColumns(filled).write.mode("overwrite").parquet(target)
+    try:
+        table.withColumns(filled).write.mode("overwrite").parquet(target)
+    except Exception as broken:
+        if not any(sign in str(broken) for sign in ("MALFORMED_RECORD", "BadRecordException")):
+            raise
+        hint = "" if multiline else "; cells with line breaks need multiline (--multiline)"
+        raise ValueError(f"{source}: a row does not fit the columns{hint}") from broken

@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a file or folder as ``value STRING``."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Lines of a file or folder as ``value STRING``.
+
+    ``options`` go to the text reader, such as ``lineSep``. With ``encoding`` the lines are
+    read as rows of one field, as the text reader takes UTF-8 only.
+    """
+    encoding = options.pop("encoding", None)
+    if encoding is None:
+        return spark.read.options(**options).text(path)
+    # A separator and a quote that no line holds.
+    whole = {"sep": "\x01", "quote": "", "escape": "", "encoding": encoding}
+    return spark.read.options(**whole | options).schema("value STRING").csv(path)
 
 
 def strip_header(lines: DataFrame, header: str | None = None) -> DataFrame:

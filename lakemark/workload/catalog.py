@@ -67,7 +67,17 @@ def attacks_per_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claimed_attacks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.group_documents(reports.claimed_attacks(events(spark, sf_dir)))
+    return reports.group_documents(reports.claimed_attacks(events(spark, sf_dir), parts=1))
+
+
+def claimed_attacks_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per claiming group: the form that has no lists."""
+    return reports.claimed_attacks(events(spark, sf_dir))
+
+
+def claimed_attacks_fixed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of three lists for each count, told apart by their part."""
+    return reports.group_documents(reports.claimed_attacks(events(spark, sf_dir), parts=3))
 
 
 def claimed_attacks_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +96,29 @@ def saved_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("NumOfAttacks BIGINT, Countries STRING").json(path)
 
 
+def ingested_events_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load whole documents as events, texts of many lines included, and measure them."""
+    source, target = fresh_path(spark, "prose-csv"), fresh_path(spark, "collection")
+    prose = table(spark, sf_dir, "documents").select(
+        F.col("lang").alias(COUNTRY_FIELD),
+        F.pmod("doc_id", F.lit(50)).cast("int").alias(YEAR_FIELD),
+        F.col("text").alias(CLAIMANT_FIELD),
+    )
+    quotes = {"quote": '"', "escape": '"'}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    prose.write.options(header=True, **quotes, **kept).csv(source)
+    ingest_csv(
+        spark, source, target, prose.schema, multiline=True, maxCharsPerColumn="-1", **quotes, **kept
+    )
+    text = F.col(CLAIMANT_FIELD)
+    return read_events(spark, target).groupBy(COUNTRY_FIELD, YEAR_FIELD).agg(
+        F.count("*").alias("n"),
+        F.sum(F.char_length(text)).alias("chars"),
+        F.sum(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit("")))).alias("breaks"),
+        F.min(F.md5(text)).alias("least_digest"),
+    )
+
+
 def ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the events from a CSV into a collection and count them by claimant."""
     source, target = fresh_path(spark, "events-csv"), fresh_path(spark, "collection")
@@ -169,10 +202,34 @@ def attacks_energy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attacks_energy_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the energy report as one text file and read it back."""
     path = fresh_path(spark, "report")
-    write_report(attacks_energy(spark, sf_dir), path)
+    write_report(attacks_energy(spark, sf_dir), path, single_file=True)
+    return read_lines(spark, path)
+
+
+def attacks_energy_file_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a null mean for a series without values, in parallel files.
+
+    The nations of one region are given such a series.
+    """
+    path = fresh_path(spark, "report")
+    bare = F.regexp_replace("value", '^((?:"[^"]*",){4}).*$', '$1""')
+    lines = indicator_lines(spark, sf_dir).withColumn(
+        "value", F.when(F.col("value").contains(", The"), bare).otherwise(F.col("value"))
+    )
+    report = reports.attacks_energy(events(spark, sf_dir), lines, empty="null")
+    write_report(report, path)
     return read_lines(spark, path)
 
 
+def attacks_defense_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.defense_documents(attacks_defense(spark, sf_dir))
+
+
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any five events; which ones is open, so they are counted."""
+    return reports.preview(events(spark, sf_dir), 5).agg(F.count("*").alias("rows"))
+
+
 def indicator_match_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _filed_indicator_lines(spark, sf_dir)
     return indicator_matches(events(spark, sf_dir), lines, ENERGY_CODE)
@@ -205,11 +262,9 @@ def parametric_join_semicolon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parametric_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join as if the lines were too many to broadcast."""
+    """The same join as if the lines were too many to broadcast; hot keys are left to AQE."""
     lines = strip_header(read_lines(spark, _totals_file(spark, sf_dir)))
-    return parametric_join(
-        events(spark, sf_dir), lines, SEMICOLON, 1, broadcast_bytes=-1, hot_rows=100
-    )
+    return parametric_join(events(spark, sf_dir), lines, SEMICOLON, 1, broadcast_bytes=-1)
 
 
 def join_on_profiled_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,10 +333,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "most_attacked_countries": most_attacked_countries,
     "attacks_per_year": attacks_per_year,
     "claimed_attacks": claimed_attacks,
+    "claimed_attacks_long": claimed_attacks_long,
+    "claimed_attacks_fixed_parts": claimed_attacks_fixed_parts,
     "claimed_attacks_parts": claimed_attacks_parts,
     "top5_countries": top5_countries,
     "saved_documents": saved_documents,
     "ingested_events": ingested_events,
+    "ingested_events_multiline": ingested_events_multiline,
     "row_text": row_texts,
     "lake_lines_no_header": lake_lines_no_header,
     "lake_keys": lake_keys,
@@ -292,6 +350,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "attacks_energy_quoted": attacks_energy_quoted,
     "attacks_energy_documents": attacks_energy_documents,
     "attacks_energy_file": attacks_energy_file,
+    "attacks_energy_file_nulls": attacks_energy_file_nulls,
+    "attacks_defense_documents": attacks_defense_documents,
+    "preview": preview_rows,
     "indicator_matches": indicator_match_rows,
     "indicator_match_lists": indicator_match_nested,
     "parametric_join_comma": parametric_join_comma,

@@ -202,6 +202,15 @@ placed AS (
   FROM counts
 )
 SELECT n, part, '[' || string_agg(k, ', ' ORDER BY k) || ']' AS keys
+FROM placed GROUP BY n, part""",
+    "claimed_attacks_long": f"WITH {_CLAIMS} SELECT n, k AS key FROM counts",
+    "claimed_attacks_fixed_parts": f"""
+WITH {_CLAIMS},
+placed AS (
+  SELECT n, k, {_PART_OF.format(item="k", total="3.0", size="1.0")} AS part FROM counts
+)
+SELECT n AS "NumOfAttacks", part AS "Part",
+       '[' || string_agg(k, ', ' ORDER BY k) || ']' AS "GroupName"
 FROM placed GROUP BY n, part""",
     "top5_countries": f"""
 WITH {_COUNTS.format(key="country_txt")}
@@ -211,6 +220,12 @@ SELECT k AS country_txt, n FROM counts ORDER BY n DESC, k NULLS FIRST LIMIT 5"""
     "ingested_events": f"""
 WITH {_EVENTS}
 SELECT coalesce(gname, '') AS gname, count(*) AS n FROM events_in GROUP BY 1""",
+    "ingested_events_multiline": """
+SELECT lang AS country_txt, CAST(doc_id % 50 AS INTEGER) AS iyear, count(*) AS n,
+       CAST(sum(length(text)) AS BIGINT) AS chars,
+       CAST(sum(length(text) - length(replace(text, chr(10), ''))) AS BIGINT) AS breaks,
+       min(md5(text)) AS least_digest
+FROM documents GROUP BY 1, 2""",
     "row_text": f"""
 WITH {_EVENTS}
 SELECT country_txt, {_EVENT_TEXT} AS event FROM events_in""",
@@ -236,6 +251,20 @@ FROM ({_report("quantity")})""",
     "attacks_energy_file": f"""
 SELECT '(' || n || ',(' || country_txt || ',' || CAST(mean AS VARCHAR) || '))' AS value
 FROM ({_report("quantity")})""",
+    "attacks_energy_file_nulls": f"""
+SELECT '(' || n || ',(' || country_txt || ',' || coalesce(CAST(mean AS VARCHAR), 'null') || '))' AS value
+FROM (
+WITH {_COUNTS.format(key="country_txt")}, {_CELLS},
+means AS (
+  SELECT plain, name, copies, avg(CASE WHEN name NOT LIKE '%, The' THEN quantity END) AS mean
+  FROM spellings LEFT JOIN cells USING (nk) GROUP BY plain, name, copies
+)
+SELECT n, k AS country_txt, mean FROM counts JOIN means ON k = plain)""",
+    "attacks_defense_documents": f"""
+SELECT n AS "NumOfAttacks", country_txt AS "Country",
+       CAST(mean AS VARCHAR) AS "Average expenditure for Defense"
+FROM ({_report("returned")})""",
+    "preview": f"WITH {_EVENTS} SELECT least(count(*), 5) AS rows FROM events_in",
     "indicator_matches": f"""
 WITH {_EVENTS}, {_LINES}
 SELECT country_txt, line, {_EVENT_TEXT} AS event, CAST(copies AS BIGINT) AS copies

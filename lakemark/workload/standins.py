@@ -189,11 +189,13 @@ def total_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lake_file(spark: SparkSession, lines: DataFrame, header: str, label: str) -> str:
     """Write lines below a header to the shared folder, as the file a job is given.
 
-    The lines are a few per nation, so one file holds them and the header can
-    come first in it.
+    Two part files, each with the header first, as exports of large tables have it.
     """
     path = fresh_path(spark, label)
-    top = spark.range(1).select(F.lit(header).alias("value"), F.lit(0).alias("place"))
-    whole = top.unionByName(lines.select("value", F.lit(1).alias("place"))).coalesce(1)
+    files = 2
+    top = spark.range(files).select(F.lit(header).alias("value"), F.lit(0).alias("place"), F.col("id").cast("int").alias("file"))
+    file = F.pmod(F.xxhash64("value"), F.lit(files)).cast("int").alias("file")
+    whole = top.unionByName(lines.select("value", F.lit(1).alias("place"), file))
+    whole = whole.repartitionById(files, F.col("file"))
     whole.sortWithinPartitions("place").select("value").write.text(path)
     return path

@@ -103,7 +103,7 @@ def test_profile_then_join(spark, run, folder, capsys):
 def test_profile_documents_then_join(spark, run, folder):
     metadata = ["--metadata", folder / "documents", "--metadata-format", "json"]
     run("profile", folder / "nations.csv", ";", *metadata)
-    assert sorted(lines_of(spark, folder / "documents")) == [
+    assert sorted(lines_of(spark, folder / "documents" / "nations")) == [
         '{"Column Number":1,"Different Values":6}', '{"Key Column":1}',
     ]
     run("join", folder / "nations.csv", "nations", ";", *metadata,
@@ -111,6 +111,45 @@ def test_profile_documents_then_join(spark, run, folder):
     assert len(documents(spark, folder / "joined")) == 4
 
 
+def test_profiles_of_two_files_in_one_place(spark, run, folder, capsys):
+    """Each is joined by its own key; a name that was never profiled fails."""
+    (folder / "sizes.csv").write_text(
+        "name;id\n" + "".join(f"{n};{i}\n" for i, n in enumerate(["Chad", "Peru", "Mali", "Cuba", "Laos"]))
+    )
+    for form in ([], ["--metadata-format", "json"]):
+        place = ["--metadata", folder / f"profiles{len(form)}", *form]
+        for name in ("nations", "sizes"):
+            run("profile", folder / f"{name}.csv", ";", *place)
+        assert "different_values" in capsys.readouterr().out
+        for name, line in (("nations", "0;Chad;0"), ("sizes", "Chad;0")):
+            out = folder / f"joined-{name}{len(form)}"
+            run("join", folder / f"{name}.csv", name, ";", *place, "--events", folder / "collection", "--out", out)
+            found = [dict(d)["line"] for d in documents(spark, out)]
+            assert len(found) == 4 and found.count(line) == 2
+        shown = capsys.readouterr().out
+        assert "0;Chad;0" in shown and "Unknown" in shown  # lines and events before the join
+        with pytest.raises(Exception, match="no key column|PATH_NOT_FOUND"):
+            run("join", folder / "nations.csv", "other", ";", *place, "--events", folder / "collection")
+
+
+def test_reader_options(spark, run, folder):
+    (folder / "latin.csv").write_bytes("id;name\n1;Perú\n2;Chad\n3;Mali\n4;Laos\n5;Togo\n".encode("latin-1"))
+    (folder / "e.csv").write_bytes("country_txt,iyear\nPerú,1\n".encode("latin-1"))
+    option = ["--lake-option", "encoding=ISO-8859-1"]
+    run("ingest", folder / "e.csv", folder / "latin", "--schema", "country_txt STRING, iyear INT", "--csv-option", "encoding=ISO-8859-1")
+    run("profile", folder / "latin.csv", ";", "--metadata", folder / "m", "--schema", "id INT, name STRING", *option)
+    run("join", folder / "latin.csv", "latin", ";", "--metadata", folder / "m", "--events", folder / "latin", "--out", folder / "o", *option)
+    assert [dict(d)["line"] for d in documents(spark, folder / "o")] == ["1;Perú"]
+
+
+def test_report_layouts(spark, run, folder):
+    events = ["--events", folder / "collection"]
+    run("claimed-attacks", *events, "--out", folder / "long", "--parts", "0")
+    assert len(documents(spark, folder / "long")) == 3
+    run("attacks-energy", folder / "wide.csv", folder / "many", *events, "--many-files")
+    assert sorted(lines_of(spark, folder / "many")) == ["(1,(Peru,0.0))", "(2,(Chad,1.5))"]
+
+
 def test_bad_arguments():
     for args in (
         [], ["join", "lake", "name", "|", "--metadata", "m"], ["attacks-energy"], ["profile", "x"],

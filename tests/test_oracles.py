@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+from lakemark.workload.catalog import QUERIES
+from lakemark.workload.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,8 @@ def rows_of(columns, rows):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry_module.queries().items()
+    assert ORACLES.items() <= entry_module.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -27,7 +27,7 @@ def read_in_order(path):
 
 def test_report_is_one_sorted_file(spark, tmp_path):
     path = str(tmp_path / "report")
-    write_report(spark.createDataFrame(ROWS, REPORT).repartition(4), path)
+    write_report(spark.createDataFrame(ROWS, REPORT).repartition(4), path, single_file=True)
     assert len(part_files(path)) == 1
     assert read_in_order(path) == TEXT
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
@@ -40,7 +40,7 @@ def test_large_report_is_several_files_in_order(spark, tmp_path):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        write_report(spark.createDataFrame(rows, REPORT), path, single_file_rows=100)
+        write_report(spark.createDataFrame(rows, REPORT), path)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     assert len(part_files(path)) > 1
@@ -48,6 +48,25 @@ def test_large_report_is_several_files_in_order(spark, tmp_path):
     assert read_in_order(path) == [f"({n},({c},{m}))" for n, c, m in expected]
 
 
+def test_nulls_are_written_out_and_rows_sorted_once(spark, tmp_path):
+    path = str(tmp_path / "report")
+    report = spark.createDataFrame([(2, "A", None), (1, None, 1.0), (3, "B", 2.5)], REPORT).orderBy("mean")
+    write_report(report, path)
+    assert read_in_order(path) == ["(3,(B,2.5))", "(2,(A,null))", "(1,(null,1.0))"]
+    plan = report.orderBy("n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort ") == 1
+
+
+def test_column_values_have_the_asked_number_of_files(spark, tmp_path):
+    df = spark.range(2000).selectExpr("cast(id as string) a", "cast(id % 700 as string) b").repartition(8)
+    for files in (1, 3):
+        path = str(tmp_path / f"v{files}")
+        write_column_values(df, path, files)
+        for column, different in ((0, 2000), (1, 700)):
+            assert 1 <= len(part_files(f"{path}/column={column}")) <= files
+            assert spark.read.parquet(f"{path}/column={column}").distinct().count() == different
+
+
 def test_report_documents_hold_the_mean_as_text(spark):
     report = spark.createDataFrame(ROWS, REPORT)
     documents = reports.energy_documents(report)
