@@ -12,8 +12,6 @@ table and no task holds the occurrences of a frequent one.
 
 from __future__ import annotations
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +26,8 @@ ORDER = 2
 #: What a shorter context costs, as a factor.
 BACKOFF = 0.4
 #: Text in a block, and text for each count table, about, in bytes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+TABLE_BYTES = 8 << 20
 
 
 def n_grams(texts: list[str | None], order: int, known: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -37,9 +36,9 @@ def n_grams(texts: list[str | None], order: int, known: dict[str, int]) -> list[
 
     Words are what lies between blanks, in lower case.
     """
-    words = [(t or "").lower().split() for t in texts]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    hashes = word_hashes(list(chain.from_iterable(words)), known)
+    by_text = [word_hashes((t or "").lower().split(), known) for t in texts]
+    sizes = np.array([len(w) for w in by_text], dtype=np.int64)
+    hashes = np.concatenate(by_text)
     doc = np.repeat(np.arange(len(texts)), sizes)
     within = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out, grams = [], hashes
@@ -116,7 +115,7 @@ def block_scores(grams: list, counts: np.ndarray, n_docs: int, backoff: float) -
 
 def backoff_scores(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, backoff: float = BACKOFF,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
     """(id, n_words, log10_score), one row per row of ``docs``, whole texts.
 
@@ -130,7 +129,7 @@ def backoff_scores(
     that one shuffle. Blocks and count tables grow in number with the text, not in size.
     """
     total = docs.agg(F.sum(F.octet_length(quoted(text)))).first()[0] or 0
-    blocks = tables = total // block_bytes + 1
+    blocks, tables = total // block_bytes + 1, total // table_bytes + 1
     source = docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text"))
     # Rows that are equal in all columns share a block, others of one id or text do not.
     whole = F.xxhash64(*[quoted(c) for c in docs.columns])
