@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemark.llm.common import quoted, text_slices, unpacked
+from lakemark.llm.common import SLICE_CHARS, quoted, text_slices, unpacked
 
 SAMPLES = 64
 SEED = 11
@@ -106,7 +106,8 @@ def fingerprint(
     pairs = [(names.index(a), names.index(b)) for a, b in likeness.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        # Several texts a row: slices of one text are kept smaller.
+        for batch in text_slices(batches, limit=SLICE_CHARS // (2 * len(names))):
             columns = [batch.column(1 + i).to_pylist() for i in range(len(names))]
             # A text that occurs again, such as the next row's neighbour, is sampled once.
             at: dict[str, int] = {}
