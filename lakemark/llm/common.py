@@ -12,7 +12,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemark.session import fresh_path
+from lakemark.session import stored
+
+__all__ = ["broadcast_if_small", "packed", "quoted", "stored", "table", "text_slices", "unpacked", "worker_state"]
 
 # A side is broadcast only after its rows were counted and measured.
 BROADCAST_BYTES = 8 << 20
@@ -25,14 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: its lineage ends here,
-    any executor can read it again, and joins with it can be split by AQE."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if its measured size allows it, else as it is.
 
@@ -74,8 +68,10 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     return home.__dict__[key]
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], field: int | None = None) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds at most ``SLICE_CHARS`` bytes of text or one row.
+def text_slices(
+    batches: Iterator[pa.RecordBatch], field: int | None = None, limit: int = SLICE_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds at most ``limit`` bytes of text or one row.
 
     The text is the last column, or field ``field`` of the struct in the first one.
     """
@@ -85,6 +81,6 @@ def text_slices(batches: Iterator[pa.RecordBatch], field: int | None = None) ->
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_CHARS, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop

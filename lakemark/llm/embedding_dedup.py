@@ -31,6 +31,9 @@ BUCKET_ROWS = 2
 #: pairs by which the number of tables is chosen.
 MISSED = 1e-5
 SIMULATED = 2_000
+#: Vectors are filled up with zeros to this width at least: the sign flips of a narrower
+#: transform are too few to turn every pair in independent ways.
+LEAST_WIDTH = 64
 SEED = 5
 SLICE_ROWS = 2_000
 
@@ -46,6 +49,11 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def width_for(dims: int) -> int:
+    """The power of two to which vectors are filled up."""
+    return max(LEAST_WIDTH, 1 << (dims - 1).bit_length())
+
+
 def bucket_codes(vectors: np.ndarray, tables: int, hashes: int, probes: int, seed: int = SEED) -> np.ndarray:
     """Codes of shape (rows, tables, 1 + probes): of the own bucket, then of the next ones.
 
@@ -53,7 +61,7 @@ def bucket_codes(vectors: np.ndarray, tables: int, hashes: int, probes: int, see
     single changes and pairs of them give the probes, each a bucket of its own.
     """
     rows, dims = vectors.shape
-    width = 1 << max(0, (dims - 1).bit_length())
+    width = width_for(dims)
     padded = np.zeros((rows, width))
     padded[:, :dims] = vectors
     source = np.random.default_rng([seed, width])
@@ -159,7 +167,7 @@ def near_vectors(
     n, longest = nodes.agg(F.count("*"), F.max(F.octet_length("unit"))).first()
     dims = (longest or 8) // 8
     if hashes is None:
-        width = 1 << max(0, (dims - 1).bit_length())
+        width = width_for(dims)
         hashes = max(1, math.ceil(math.log(max(n / BUCKET_ROWS * (1 + probes), 1)) / math.log(2 * width)))
     if tables is None:
         tables = tables_for(threshold, dims, hashes, probes)

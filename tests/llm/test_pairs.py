@@ -121,9 +121,14 @@ def test_components_of_chains_and_stars(spark):
     assert got == want
 
 
+def unit(v):
+    v = np.array(v, float) / np.abs(v).max()
+    return v / np.linalg.norm(v)
+
+
 def check_vectors(vectors, got, threshold=0.95):
     usable = {
-        i: np.array(v, float) / np.linalg.norm(np.array(v, float)) for i, v in vectors
+        i: unit(v) for i, v in vectors
         if v is not None and len(v) and None not in v and np.isfinite(np.array(v, float)).all() and np.abs(np.array(v, float)).max() > 0
     }
     links = [
