@@ -57,16 +57,6 @@ def match_on_key(
     return events.join(lines, key)
 
 
-def having_lines(
-    events: DataFrame, lines: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """The events whose key some line has; each once, where they are if the keys are few."""
-    keys = lines.select(key).distinct()
-    if broadcast_bytes >= 0 and measured_bytes(keys) <= broadcast_bytes:
-        keys = F.broadcast(keys)
-    return events.join(keys, key, "left_semi").select(*[quoted_name(c) for c in events.columns])
-
-
 def keyed_indicator_lines(lines: DataFrame, code: str, key: str = "first_comma") -> DataFrame:
     """Distinct lines with the indicator, as ``(country_txt, line, copies)``."""
     if key not in ("first_comma", "quoted"):
@@ -128,9 +118,13 @@ def indicator_match_lists(
     once per line.
     """
     keyed = keyed_indicator_lines(lines, code, key)
-    located = having_lines(
-        events.filter(quoted_name(COUNTRY_FIELD).isNotNull()), keyed, COUNTRY_FIELD, broadcast_bytes
-    )
+    # Measured once; their keys are no more than they are.
+    small = broadcast_bytes >= 0 and measured_bytes(keyed) <= broadcast_bytes
+    keyed = F.broadcast(keyed) if small else keyed
+    keys = keyed.select(COUNTRY_FIELD).distinct()
+    located = events.filter(quoted_name(COUNTRY_FIELD).isNotNull())
+    located = located.join(F.broadcast(keys) if small else keys, COUNTRY_FIELD, "left_semi")
+    located = located.select(*[quoted_name(c) for c in events.columns])
     texts = (
         located.select(quoted_name(COUNTRY_FIELD), row_text(located).alias("event"))
         .groupBy(COUNTRY_FIELD, "event")
@@ -138,11 +132,11 @@ def indicator_match_lists(
     )
     number = F.lit(parts)
     if part_size is not None:
-        # One row per country from a scan of one column; stored, because it is
-        # measured and then joined.
+        # One row per country from a scan of one column; stored, so that Spark knows its
+        # size and may broadcast it.
         counts = count_by(located, COUNTRY_FIELD)
         needed = counts.select(COUNTRY_FIELD, parts_needed(F.col("n"), part_size).alias("of"))
-        texts = match_on_key(texts, stored(needed, "parts"), COUNTRY_FIELD, broadcast_bytes)
+        texts = texts.join(stored(needed, "parts"), COUNTRY_FIELD)
         number = F.col("of")
     lists = (
         texts.withColumn("part", part_number(F.col("event"), number))
@@ -150,7 +144,7 @@ def indicator_match_lists(
         .groupBy(COUNTRY_FIELD, "part")
         .agg(F.array_sort(F.collect_list(F.struct("event", "times"))).alias("events"))
     )
-    return match_on_key(lists, keyed, COUNTRY_FIELD, broadcast_bytes).select(
+    return lists.join(keyed, COUNTRY_FIELD).select(
         COUNTRY_FIELD, "line", "copies", "part", "events"
     )
 

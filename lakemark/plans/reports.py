@@ -22,7 +22,7 @@ from lakemark.constants import (
 )
 from lakemark.functions.events import list_text, quoted_name
 from lakemark.operators.counts import count_by, count_claimed, keys_by_count
-from lakemark.operators.joins import BROADCAST_BYTES, indicator_means, match_on_key
+from lakemark.operators.joins import indicator_means
 from lakemark.session import stored
 
 
@@ -78,7 +78,6 @@ def indicator_report(
     key: str = "first_comma",
     empty: str = "zero",
     bad: str = "error",
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Event count and indicator mean per country: ``(n, country_txt, mean)``.
 
@@ -87,12 +86,12 @@ def indicator_report(
     meets the lines instead of every event.
     """
     located = events.filter(F.col(COUNTRY_FIELD).isNotNull())
-    # Stored, so that they can be measured, and so that beyond the broadcast limit both
-    # sides of the join are plain shuffled rows and AQE can split a hot country.
+    # Stored, so that Spark knows their size and broadcasts them below its limit, and so
+    # that beyond it both sides are plain shuffled rows and AQE can split a hot country.
     counts = stored(count_by(located, COUNTRY_FIELD), "counts")
     means = indicator_means(lines, code, key, empty, bad)
     return (
-        match_on_key(means, counts, COUNTRY_FIELD, broadcast_bytes)
+        means.join(counts, COUNTRY_FIELD)
         .select("n", COUNTRY_FIELD, "mean")
         .orderBy(F.desc("n"), COUNTRY_FIELD, "mean")
     )

@@ -210,7 +210,7 @@ def test_hot_country_of_a_report_is_split_at_run_time(events, lines, small_skew)
     """A country with most of the different lines, beyond the broadcast limit."""
     given = events(*[(f"c{i}", 1, "g") for i in range(200)])
     lake = lines(*[wide("c7", str(i), str(i * 7919 % 10007)) for i in range(6000)], *[wide(f"c{i}") for i in range(200)])
-    report = reports.indicator_report(given, lake.repartition(8), CODE, broadcast_bytes=-1)
+    report = reports.indicator_report(given, lake.repartition(8), CODE)
     assert len(report.collect()) == 6200
     assert "skew=true" in plan_of(report)
 
