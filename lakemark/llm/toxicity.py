@@ -119,16 +119,9 @@ def copy_shares(sets: list[np.ndarray]) -> np.ndarray:
     return shares
 
 
-def telling(
-    pair_rows: np.ndarray, pair_features: np.ndarray, n_features: int, positive: np.ndarray, shares: np.ndarray, min_docs: int
-) -> np.ndarray:
-    """Features that occur more often in positive rows than chance allows, all rows weighed by
-    ``shares``: the likelihood ratio statistic is above 2 log(number of features)."""
-    total = np.bincount(pair_features, weights=shares[pair_rows], minlength=n_features)
-    hit = np.bincount(pair_features, weights=(shares * positive)[pair_rows], minlength=n_features)
-    n, p = shares.sum(), (shares * positive).sum()
-    common = total >= min_docs - 1e-9
-
+def likelihood_ratios(total: np.ndarray, hit: np.ndarray, n: float, p: float) -> np.ndarray:
+    """Twice the log-likelihood ratio of features in ``total`` of ``n`` rows, ``hit`` of ``p``
+    positive ones, to chance; 0 for those that are rarer in positive rows than chance."""
     def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 1e-9, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
@@ -136,7 +129,51 @@ def telling(
         part(hit, total * p / n) + part(total - hit, total * (n - p) / n)
         + part(p - hit, (n - total) * p / n) + part(n - p - total + hit, (n - total) * (n - p) / n)
     )
-    return np.flatnonzero(common & (hit * n > total * p) & (ratio >= 2 * np.log(max(common.sum(), 2))))
+    return np.where(hit * n > total * p, ratio, 0.0)
+
+
+def telling_features(
+    words: list[str], codes: np.ndarray, row_of: np.ndarray, positive: np.ndarray, shares: np.ndarray, min_docs: int
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Features that occur more often in positive rows than chance allows, with the rows of
+    each, sorted by row.
+
+    Row ``row_of[i]`` has the word ``words[codes[i]]``. All rows are weighed by ``shares``; the
+    likelihood ratio statistic must be above 2 log(number of common features). One kind
+    of feature is held at a time, and of it only what can still be chosen.
+    """
+    n, p = shares.sum(), (shares * positive).sum()
+    names, ratios, parts, common = [], [], [], 0
+    for length in (None, *STEMS):
+        own: dict[str, int] = {}
+        of_word = np.array(
+            [own.setdefault(w[:length], len(own)) if length is None or len(w) >= length else -1 for w in words], dtype=np.int64
+        )
+        spread = of_word[codes]
+        known = spread >= 0
+        pairs, times = np.unique(row_of[known] * len(own) + spread[known], return_counts=True)
+        listed = list(own)
+        for repeats in range(1, REPEATS + 1 if length else 2):
+            rows, features = np.divmod(pairs[times >= repeats], max(len(own), 1))
+            total = np.bincount(features, weights=shares[rows], minlength=len(own))
+            hit = np.bincount(features, weights=(shares * positive)[rows], minlength=len(own))
+            frequent = total >= min_docs - 1e-9
+            common += int(frequent.sum())
+            ratio = np.where(frequent, likelihood_ratios(total, hit, n, p), 0.0)
+            kept = np.flatnonzero(ratio >= 2 * np.log(max(int(frequent.sum()), 2)))
+            place = np.full(len(own), -1)
+            place[kept] = np.arange(len(kept)) + len(names)
+            taken = place[features] >= 0
+            parts.append((rows[taken], place[features[taken]]))
+            names += [f"{repeats}^{listed[f]}" if length else listed[f] for f in kept.tolist()]
+            ratios.append(ratio[kept])
+    enough = np.concatenate(ratios) >= 2 * np.log(max(common, 2))
+    rows, features = (np.concatenate([part[k] for part in parts]) for k in (0, 1))
+    place = np.where(enough, np.cumsum(enough) - 1, -1)
+    taken = place[features] >= 0 if len(features) else np.zeros(0, dtype=bool)
+    rows, features = rows[taken], place[features[taken]] if len(features) else features
+    order = np.argsort(rows, kind="stable")
+    return [name for name, e in zip(names, enough) if e], rows[order], features[order]
 
 
 def fit_toxicity(
@@ -186,41 +223,21 @@ def fit_toxicity(
     sizes = pc.list_value_length(lists).to_numpy()
     row_of = np.repeat(np.arange(len(sizes)), sizes)
     shares = copy_shares(np.split(codes, np.cumsum(sizes)[:-1]))
-    # Each word has its own feature and one for each of its beginnings.
-    names: dict[str, int] = {}
-    of_word = np.full((len(words), 1 + len(STEMS)), -1, dtype=np.int64)
-    for i, word in enumerate(words):
-        of_word[i, 0] = names.setdefault(word, len(names))
-        for k, length in enumerate(STEMS):
-            if len(word) >= length:
-                of_word[i, 1 + k] = names.setdefault("1^" + word[:length], len(names))
-    spread = of_word[codes]
-    known = spread >= 0
-    pairs, times = np.unique(np.repeat(row_of, known.sum(axis=1)) * len(names) + spread[known], return_counts=True)
-    # The features of n words with a beginning follow those of n - 1.
-    listed, width = list(names), len(names)
-    names_of = listed + [f"{n}{f[1:]}" if f[0] == "1" else "" for n in range(2, REPEATS + 1) for f in listed]
-    parts = [np.divmod(pairs[times >= n], width) for n in range(1, REPEATS + 1)]
-    pair_rows = np.concatenate([r for r, _ in parts])
-    pair_features = np.concatenate([f + n * width for n, (_, f) in enumerate(parts)])
-    order = np.argsort(pair_rows, kind="stable")
-    pair_rows, pair_features = pair_rows[order], pair_features[order]
-    n_features = len(names_of)
-    chosen = telling(pair_rows, pair_features, n_features, levels > 0, shares, min_docs)
+    names, pair_rows, pair_features = telling_features(words, codes, row_of, levels > 0, shares, min_docs)
     # Of features with the same rows the longest beginning is taken, else the word.
-    marks = np.bincount(pair_features, weights=np.random.default_rng(0).random(len(sizes))[pair_rows], minlength=n_features)
+    marks = np.bincount(pair_features, weights=np.random.default_rng(0).random(len(sizes))[pair_rows], minlength=len(names))
     best: dict[float, int] = {}
-    for f in sorted(chosen.tolist(), key=lambda f: ("^" in names_of[f], len(names_of[f]), names_of[f])):
+    for f in sorted(range(len(names)), key=lambda f: ("^" in names[f], len(names[f]), names[f])):
         best[round(marks[f], 9)] = f
     chosen = np.array(sorted(best.values()), dtype=np.int64)
-    new_code = np.full(n_features, -1)
+    new_code = np.full(len(names), -1)
     new_code[chosen] = np.arange(len(chosen))
     kept = new_code[pair_features] >= 0
     columns = new_code[pair_features[kept]]
     offsets = np.concatenate([[0], np.cumsum(np.bincount(pair_rows[kept], minlength=len(sizes)))])
     weight, cuts = fit_ordinal(offsets, columns, len(chosen), levels, len(grades), shares, l1, steps)
     return OrdinalModel(
-        {names_of[chosen[i]]: float(weight[i]) for i in np.flatnonzero(weight)}, tuple(float(c) for c in cuts), tuple(int(g) for g in grades)
+        {names[chosen[i]]: float(weight[i]) for i in np.flatnonzero(weight)}, tuple(float(c) for c in cuts), tuple(int(g) for g in grades)
     )
 
 
