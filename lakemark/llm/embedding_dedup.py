@@ -182,8 +182,10 @@ def near_vectors(
                     vectors = np.frombuffer(b"".join(units[i] for i in at)).reshape(len(at), -1)
                     codes = bucket_codes(vectors, tables, hashes, probes)
                     taken = batch.take(pa.array(at))
-                    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * tables * (1 + probes), pa.int32()), pa.array(codes.ravel()))
-                    yield pa.record_batch([taken.column("node"), taken.column("unit"), taken.column("copies"), flat], ["node", "unit", "copies", "codes"])
+                    ends = np.arange(len(at) + 1) * tables * (1 + probes)
+                    flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes.ravel()))
+                    own = ["node", "unit", "copies"]
+                    yield pa.record_batch([*(taken.column(c) for c in own), flat], [*own, "codes"])
 
     coded_nodes = nodes.select("node", "unit", "copies").mapInArrow(coded, "node BINARY, unit BINARY, copies BIGINT, codes ARRAY<BIGINT>")
     coded_nodes = stored(coded_nodes, "codes")

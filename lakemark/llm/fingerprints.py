@@ -23,8 +23,8 @@ from lakemark.llm.common import SLICE_CHARS, quoted, text_slices, unpacked
 
 SAMPLES = 64
 SEED = 11
-#: Relative error asked of the quantiles of ids that place documents in ranges.
-ACCURACY = 10_000
+#: Quantiles of ids that place documents in ranges are right to this part of a range.
+ACCURACY = 10
 
 STEP, MIX_1, MIX_2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 LOW = np.uint64(0xFFFFFFFF)
@@ -138,7 +138,7 @@ def with_successor(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Several ranges a task even out what a hash of the range puts together.
     cuts = [F.lit(i / (4 * parts)) for i in range(1, 4 * parts)]
-    quantiles = F.percentile_approx("key", F.array(*cuts), F.lit(ACCURACY))
+    quantiles = F.percentile_approx("key", F.array(*cuts), F.lit(ACCURACY * 4 * parts))
     told = rows.agg(F.min("key").alias("least"), quantiles.alias("cuts")).first()
     bounds = sorted({b for b in told["cuts"] or [] if b > told["least"]})
     n_ranges, least = len(bounds) + 1, told["least"]
@@ -158,7 +158,8 @@ def with_successor(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
             ranges = np.concatenate([at, np.array([r for _, r, _ in extra], int)])
             roles = np.concatenate([np.zeros(len(keys), int), np.array([r for _, _, r in extra], int)])
             taken = batch.take(pa.array(rows_at))
-            yield pa.record_batch([pa.array(ranges, pa.int32()), pa.array(roles, pa.int32()), taken.column(0), taken.column(1)], ["range", "role", "key", "text"])
+            out = [pa.array(ranges, pa.int32()), pa.array(roles, pa.int32()), taken.column(0), taken.column(1)]
+            yield pa.record_batch(out, ["range", "role", "key", "text"])
 
     fields = [T.StructField("range", T.IntegerType()), T.StructField("role", T.IntegerType()), *rows.schema.fields]
     placed = rows.mapInArrow(place, T.StructType(fields)).repartition(parts, "range")

@@ -102,7 +102,11 @@ def count_tokens(
     size = block_tokens * width
     starts = F.sequence(F.lit(0), F.greatest((F.col("length") - 1), F.lit(0)), F.lit(size))
     blocks = files.filter("length > 0").select("path", "content", F.explode(starts).alias("at"))
-    blocks = blocks.select(F.col("path").alias("file"), (F.col("at") / width).cast("long").alias("first"), F.substring("content", (F.col("at") + 1).cast("int"), F.lit(size)).alias("block"))
+    blocks = blocks.select(
+        F.col("path").alias("file"),
+        (F.col("at") / width).cast("long").alias("first"),
+        F.substring("content", (F.col("at") + 1).cast("int"), F.lit(size)).alias("block"),
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
