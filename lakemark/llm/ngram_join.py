@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ VALUES = 128
 #: Values compared at a time, and the posterior probability below which a pair is dropped.
 STEP = 16
 TOLERANCE = 1e-5
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,20 +57,17 @@ def shingle_sets(texts: list[str | None], n: int, known: dict[str, int]) -> list
 
     A text of fewer words has one n-gram of all of them; one without words has none.
     """
-    words = [(t or "").lower().split() for t in texts]
-    hashes = word_hashes(list(chain.from_iterable(words)), known)
-    out, at = [], 0
-    for own in words:
-        part = hashes[at : at + len(own)]
-        at += len(own)
-        width = min(n, len(own))
+    out = []
+    for text in texts:
+        part = word_hashes((text or "").lower().split(), known)
+        width = min(n, len(part))
         if not width:
             out.append(part)
             continue
         with np.errstate(over="ignore"):
-            grams = np.zeros(len(own) - width + 1, dtype=np.uint64)
+            grams = np.zeros(len(part) - width + 1, dtype=np.uint64)
             for k in range(width):
-                grams = grams * MULTIPLIER + part[k : len(own) - width + 1 + k]
+                grams = grams * MULTIPLIER + part[k : len(part) - width + 1 + k]
         out.append(np.unique(mixed(grams + np.uint64(width))))
     return out
 
@@ -108,7 +104,9 @@ def least_matches(threshold: float, values: int = VALUES, step: int = STEP, tole
     return out
 
 
-def surviving(i: np.ndarray, j: np.ndarray, values: np.ndarray, sizes: np.ndarray, threshold: float, keep: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def surviving(
+    i: np.ndarray, j: np.ndarray, values: np.ndarray, sizes: np.ndarray, threshold: float, keep: list[int]
+) -> tuple[np.ndarray, np.ndarray]:
     """The pairs that neither their set sizes nor the posterior probability rule out."""
     fit = np.minimum(sizes[i], sizes[j]) >= threshold * np.maximum(sizes[i], sizes[j]) - 1e-9
     i, j = i[fit], j[fit]
@@ -291,15 +289,20 @@ def similar(
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that name their class: one of each class of ``similar``.
 
-    Rows without words are all kept. Of rows that repeat id and text one stays.
+    Rows without words are all kept. Of rows that repeat id and text one stays. The rows to
+    drop are looked up, as they are fewer than those to keep.
     """
-    rows = similar(docs, doc_id, text, **settings).filter(F.col("id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key")))
-    counted = stored(rows.groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(F.count("*").alias("rows_")), "kept")
+    rows = similar(docs, doc_id, text, **settings)
+    rows = stored(rows.withColumn("first", F.col("id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))), "classes")
+    dropped = rows.filter("NOT first").select(F.col("id").alias("of"), F.col("key").alias("of_key")).distinct()
+    repeated = rows.filter("first").groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).count().filter("count > 1")
+    repeated = stored(repeated.select("of", "of_key"), "repeated")
     key = F.sha2(F.coalesce(quoted(text), F.lit("")), 256)
-    same = quoted(doc_id).eqNullSafe(F.col("of")) & (key == F.col("of_key"))
-    columns = [quoted(c) for c in docs.columns]
-    kept = docs.select(F.struct(*columns).alias("row_"), quoted(doc_id).alias("id"), key.alias("key"))
-    kept = kept.join(broadcast_if_small(counted), F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")))
-    once = kept.filter("rows_ = 1").select("row_")
-    again = kept.filter("rows_ > 1").groupBy("id", "key").agg(F.min("row_").alias("row_")).select("row_")
-    return once.unionByName(again).select(*[F.col("row_").getField(c).alias(c) for c in docs.columns])
+    kept = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row_"), quoted(doc_id).alias("id"), key.alias("key"))
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key"))
+    kept = kept.join(broadcast_if_small(stored(dropped, "dropped")), same, "left_anti")
+    if not repeated.isEmpty():
+        repeated = broadcast_if_small(repeated)
+        again = kept.join(repeated, same, "left_semi").groupBy("id", "key").agg(F.min("row_").alias("row_"))
+        kept = kept.join(repeated, same, "left_anti").select("row_").unionByName(again.select("row_"))
+    return kept.select(*[F.col("row_").getField(c).alias(c) for c in docs.columns])
