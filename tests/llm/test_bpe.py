@@ -39,7 +39,6 @@ def test_small_memory_gives_the_same(both, monkeypatch, texts):
     model, library = both
     monkeypatch.setattr(bpe, "REMEMBERED", 2)
     monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 2)
-    monkeypatch.setattr(bpe, "REMEMBERED_PREFIXES", 5)
     for text in texts:
         assert ids_of(model, text) == (library.encode(text, add_special_tokens=False).ids if text else [])
 
