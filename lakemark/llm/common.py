@@ -61,11 +61,14 @@ def unpacked(rows: DataFrame, names: list[str], **columns: Column) -> DataFrame:
 
 
 def worker_state(key: str, build: Callable[[], object]) -> object:
-    """What ``build`` returns, kept for all tasks of one Python worker."""
+    """What ``build`` returns, kept for the tasks of one Python worker until it works on
+    something else: a worker outlives a job and must not add up what all of them remember."""
     home = sys.modules.setdefault("_lakemark_llm_state", types.ModuleType("_lakemark_llm_state"))
-    if key not in home.__dict__:
-        home.__dict__[key] = build()
-    return home.__dict__[key]
+    held = home.__dict__.setdefault("held", {})
+    if key not in held:
+        held.clear()
+        held[key] = build()
+    return held[key]
 
 
 def text_slices(

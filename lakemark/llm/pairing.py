@@ -22,7 +22,7 @@ PART_NODES = 256
 #: Rows of whole cells that a task works on together, about.
 CHUNK_ROWS = 8_192
 #: Pairs that are compared together.
-PAIR_BATCH = 1 << 17
+PAIR_BATCH = 1 << 15
 MOST_ROUNDS = 60
 
 
