@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemark.llm.bpe import encode
@@ -14,7 +14,7 @@ from lakemark.llm.mixing import mixing_plan
 from lakemark.llm.ngram_join import similar
 from lakemark.llm.pii import replace_pii
 from lakemark.llm.secret_scan import fit_formats, scan_secrets
-from lakemark.llm.token_counts import count_tokens, write_token_files
+from lakemark.llm.token_counts import counted_in_files
 from lakemark.llm.toxicity import REJECT_AT, fit_toxicity, score_toxicity
 
 
@@ -87,18 +87,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat token files written from all documents.
 
-    The files hold one id a word. They know no document ids; their order within a bucket
-    gives them back.
+    The files hold one id a word.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path, buckets = write_token_files(docs)
-    counts = count_tokens(spark, path)
-    bucket = F.regexp_extract("file", r"/bucket=(\d+)/", 1).cast("long")
-    counts = counts.select(bucket.alias("bucket"), "ordinal", "n_tokens")
-    ids = docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"))
-    within = Window.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first())
-    ids = ids.withColumn("ordinal", (F.row_number().over(within) - 1).cast("long"))
-    return ids.join(counts, ["bucket", "ordinal"]).select("doc_id", "n_tokens")
+    return counted_in_files(docs).select(F.col("id").alias("doc_id"), "n_tokens")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

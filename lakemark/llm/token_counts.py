@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemark.llm.common import quoted, text_slices, worker_state
+from lakemark.llm.common import broadcast_if_small, quoted, stored, text_slices, worker_state
 from lakemark.session import fresh_path
 
 #: Tokens are 16-bit, the first byte the lower one, and 0 ends a document.
@@ -51,18 +51,40 @@ def word_tokens(text: str | None, known: dict[bytes, bytes]) -> bytes:
 
 
 def write_token_files(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> tuple[str, int]:
+    """The folder and the number of buckets of ``token_files``."""
+    return token_files(docs, doc_id, text, file_bytes)[:2]
+
+
+def token_files(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES
+) -> tuple[str, int, DataFrame]:
     """Write the word ids of every whole text to flat files in the shared folder.
 
-    Returns the folder and the number of buckets. Each file ``bucket=N/...`` holds the
-    documents of one bucket of the id's hash in ascending order of the id with null first.
+    Returns the folder, the number of buckets, and (key, begin, parts) of the hot ids, those
+    with the text of a file. Each file ``bucket=N/...`` with N below the number of buckets
+    holds the documents of one bucket of the id's hash in ascending order of the id with
+    null first. The documents of a hot id lie in ``parts`` files of their own from bucket
+    ``begin`` on, dealt out in no order: they are of one id, so none is needed.
     A null text is an empty document.
     """
     spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length(quoted(text)))).first()[0] or 0
-    buckets = total // file_bytes + 1
-    rows = docs.select(
-        F.pmod(F.xxhash64(quoted(doc_id)), F.lit(buckets)).alias("bucket"), quoted(doc_id).alias("key"), quoted(text).alias("text")
-    )
+    # A document of n bytes has (n + 1) / 2 words at most, so this bounds its part of a file.
+    size = F.coalesce(F.octet_length(quoted(text)), F.lit(0)).cast("long") + 1 + WIDTH
+    sizes = stored(docs.groupBy(quoted(doc_id).alias("key")).agg(F.sum(size).alias("size")), "id-sizes")
+    buckets = (sizes.agg(F.sum("size")).first()[0] or 0) // file_bytes + 1
+    hot = sizes.filter(F.col("size") > file_bytes).select("key", (F.floor(F.col("size") / file_bytes) + 1).alias("parts"))
+    # At most one row for each file_bytes of text.
+    before = Window.orderBy(F.col("key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    hot = stored(hot.select("key", (F.coalesce(F.sum("parts").over(before), F.lit(0)) + buckets).alias("begin"), "parts"), "hot-ids")
+    extra = hot.agg(F.sum("parts")).first()[0] or 0
+    rows = docs.select(quoted(doc_id).alias("key"), quoted(text).alias("text"))
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
+    if extra:
+        # Exact repeats must part too, so the place of the row in its partition deals it out.
+        rows = rows.withColumn("place", F.monotonically_increasing_id())
+        rows = rows.join(broadcast_if_small(hot.withColumnRenamed("key", "of")), F.col("key").eqNullSafe(F.col("of")), "left")
+        bucket = F.coalesce(F.col("begin") + F.pmod(F.xxhash64("place"), F.col("parts")), bucket)
+    rows = rows.select(bucket.alias("bucket"), "key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = worker_state("word tokens", dict)
@@ -76,12 +98,37 @@ def write_token_files(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     # bytes, behind each row: the end-of-document id.
     (
         rows.mapInArrow(run, schema)
-        .repartition(max(1, min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))), "bucket")
+        .repartition(max(1, min(buckets + extra, int(spark.conf.get("spark.sql.shuffle.partitions")))), "bucket")
         .sortWithinPartitions("bucket", F.col("key").asc_nulls_first())
         .select("bucket", F.col("tokens").cast("string").alias("value"))
         .write.partitionBy("bucket").option("lineSep", "\0" * WIDTH).option("maxRecordsPerFile", 0).text(path)
     )
-    return path, buckets
+    return path, buckets, hot
+
+
+def counted_in_files(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> DataFrame:
+    """(id, n_tokens) of every document, counted in ``token_files`` of all of them.
+
+    The files know no document ids: the order within a bucket gives them back, or for a hot
+    id the bucket alone.
+    """
+    path, buckets, hot = token_files(docs, doc_id, text, file_bytes)
+    bucket = F.regexp_extract("file", r"/bucket=(\d+)/", 1).cast("long")
+    counts = count_tokens(docs.sparkSession, path).select(bucket.alias("bucket"), "ordinal", "n_tokens")
+    ids = docs.select(quoted(doc_id).alias("key"))
+    some = bool(hot.head(1))
+    if some:
+        of = broadcast_if_small(hot.select(F.col("key").alias("of")))
+        ids = ids.join(of, F.col("key").eqNullSafe(F.col("of")), "left_anti")
+    ids = ids.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    within = Window.partitionBy("bucket").orderBy(F.col("key").asc_nulls_first())
+    ids = ids.withColumn("ordinal", (F.row_number().over(within) - 1).cast("long"))
+    found = ids.join(counts, ["bucket", "ordinal"]).select(F.col("key").alias("id"), "n_tokens")
+    if some:
+        own = F.explode(F.sequence("begin", F.col("begin") + F.col("parts") - 1))
+        own = broadcast_if_small(stored(hot.select(F.col("key").alias("id"), own.alias("bucket")), "hot-buckets"))
+        found = found.unionByName(counts.filter(F.col("bucket") >= buckets).join(own, "bucket").select("id", "n_tokens"))
+    return found
 
 
 def count_tokens(

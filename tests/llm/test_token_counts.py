@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from lakemark.llm.token_counts import count_tokens, write_token_files
+from lakemark.llm.token_counts import count_tokens, counted_in_files, token_files, write_token_files
 from lakemark.session import fresh_path
 
 
@@ -51,3 +51,16 @@ def test_written_files(spark, docs, wide_docs, no_docs, texts):
     assert count_tokens(spark, path).count() == wide_docs.count()
     path, buckets = write_token_files(no_docs)
     assert buckets == 1 and count_tokens(spark, path).collect() == []
+
+
+def test_hot_ids_are_spread_over_files(spark):
+    """Null and one id with most rows, exact repeats among them: no file gets long."""
+    rows = [(None, "same words here " * 5)] * 300 + [(7, "w " * (i % 50)) for i in range(300)]
+    rows += [(i, "a b c " * (i % 9)) for i in range(8, 200)]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    path, buckets, hot = token_files(frame, file_bytes=4_000)
+    assert sorted((r.key is None, r.key) for r in hot.collect()) == [(False, 7), (True, None)]
+    assert count_tokens(spark, path, longest_file=12_000).count() == len(rows)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    got = [tuple(r) for r in counted_in_files(frame, file_bytes=4_000).collect()]
+    assert sorted(got, key=key) == sorted(((i, len(t.split())) for i, t in rows), key=key)
