@@ -127,10 +127,85 @@ SELECT d.doc_id, class_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links
 FROM documents d JOIN least ON d.doc_id = least.a LEFT JOIN counted ON d.doc_id = counted.a
 """
 
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)
+), sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), phrases AS (
+  SELECT lang, w[i:i + k - 1] AS words, k, count(*) AS f
+  FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+  SELECT p.lang, p.words, p.f AS a, c AS cut, x.f AS l, y.f AS r, n,
+         CAST((1000::HUGEINT * p.f * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM phrases p JOIN (SELECT unnest([1, 2, 3, 4]) AS c) ON c < k JOIN sizes ON p.lang = sizes.lang
+  JOIN phrases x ON x.lang = p.lang AND x.words = p.words[:c]
+  JOIN phrases y ON y.lang = p.lang AND y.words = p.words[c + 1:]
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+), parts AS (
+  SELECT DISTINCT lang, words[s:s + m - 1] AS words, f
+  FROM phrases, (SELECT unnest([2, 3, 4]) AS m), (SELECT unnest([1, 2, 3, 4]) AS s)
+  WHERE m < k AND s + m - 1 <= k
+), kept AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score FROM weakest
+  WHERE NOT EXISTS (SELECT 1 FROM parts WHERE parts.lang = weakest.lang AND parts.words = weakest.words AND 100 * parts.f >= 100 * a)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+def vector_codes(rounds: int = 4) -> str:
+    """The codebooks in SQL: a round after the other, every part against every entry."""
+    steps = [r"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+         row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS i
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), width AS (SELECT CAST(ceil(max(len(v)) / 4.0) AS BIGINT) AS d FROM kept),
+cells AS MATERIALIZED (
+  SELECT i, p, q, coalesce(v[p * d + q + 1], 0) AS x
+  FROM kept, width, (SELECT unnest(range(4)) AS p), LATERAL (SELECT unnest(range(d)) AS q)
+), book0 AS MATERIALIZED (SELECT p, CAST(i - 1 AS BIGINT) AS e, q, x AS y FROM cells WHERE i <= 256)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT i, p, arg_min(e, d2 * 256 + e) AS e, min(d2) AS d2
+  FROM (SELECT i, cells.p, e, sum((x - y) * (x - y)) AS d2 FROM cells JOIN book{k} b ON cells.p = b.p AND cells.q = b.q GROUP BY ALL)
+  GROUP BY i, p
+)""")
+        if k < rounds:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.q, CASE WHEN c IS NULL THEN y ELSE CAST((s - ((s % c) + c) % c) // c AS BIGINT) END AS y
+  FROM book{k} b LEFT JOIN (
+    SELECT cells.p, e, q, CAST(sum(x) AS BIGINT) AS s, count(*) AS c
+    FROM cells JOIN near{k} n ON cells.i = n.i AND cells.p = n.p GROUP BY ALL
+  ) m ON b.p = m.p AND b.e = m.e AND b.q = m.q
+)""")
+    return ",\n".join(steps) + f""", coded AS (
+  SELECT i, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d2) AS BIGINT) AS error FROM near{rounds} GROUP BY i
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, q)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded ON kept.i = coded.i
+"""
+
+
 ORACLES = {
     "op2_lm_scoring": LM_SCORING,
     "op3_embeddings": EMBEDDINGS,
     "op4_ngram_join": NGRAM_JOIN,
     "op6_token_counts": TOKEN_COUNTS,
     "op7_mixing": MIXING,
+    "op11_collocations": COLLOCATIONS,
+    "op12_vector_codes": vector_codes(),
 }

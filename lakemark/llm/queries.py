@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemark.llm.bpe import encode
+from lakemark.llm.collocations import collocations
 from lakemark.llm.common import table
 from lakemark.llm.embedding_dedup import near_vectors
 from lakemark.llm.fingerprints import fingerprint, with_successor
+from lakemark.llm.language_id import fit_prototypes, held_out, identify
 from lakemark.llm.lm_scoring import backoff_scores
 from lakemark.llm.mixing import mixing_plan
 from lakemark.llm.ngram_join import similar
@@ -16,6 +18,7 @@ from lakemark.llm.pii import replace_pii
 from lakemark.llm.secret_scan import fit_formats, scan_secrets
 from lakemark.llm.token_counts import counted_in_files
 from lakemark.llm.toxicity import REJECT_AT, fit_toxicity, score_toxicity
+from lakemark.llm.vector_codes import encode_vectors, fit_codebooks, with_label_errors
 
 
 def tokenizer_path() -> str:
@@ -134,6 +137,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two to five words of every language."""
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors by four codebooks of 256 entries, and their errors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codebooks = fit_codebooks(vectors)
+    coded = encode_vectors(vectors, codebooks).drop("embedding")
+    return with_label_errors(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codebooks.sha256).alias("codebooks_sha256")
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    prototypes = fit_prototypes(docs.filter(~held_out(F.col("doc_id"))))
+    rows = identify(docs.select("doc_id", "text"), prototypes)
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_lm_scoring": op2_lm_scoring,
@@ -145,4 +171,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_language_id": op13_language_id,
 }
