@@ -9,6 +9,10 @@ COUNTRY_FIELD = "country_txt"
 YEAR_FIELD = "iyear"
 CLAIMANT_FIELD = "gname"
 
+# Columns of a document without a schema: the whole of it, and the names of its fields.
+DOCUMENT = "document"
+DOCUMENT_FIELDS = "document_fields"
+
 # A claimant with this text counts as "nobody claimed it".
 UNKNOWN_CLAIMANT = "Unknown"
 

@@ -18,16 +18,19 @@ from lakemark.constants import (
 )
 from lakemark.operators import profile
 from lakemark.operators.counts import count_by, count_claimed
-from lakemark.operators.joins import parametric_join
+from lakemark.operators.joins import most_bytes, parametric_join
 from lakemark.plans import reports
-from lakemark.session import stored, tune
+from lakemark.session import staging, stored, tune
 from lakemark.sinks import write_documents, write_report
 from lakemark.sources import (
     dataset_name,
+    drop_versions,
     ingest_csv,
+    read_documents,
     read_events,
     read_lines,
     read_table,
+    read_texts,
     strip_header,
 )
 
@@ -52,7 +55,16 @@ def _option(text: str) -> tuple[str, str]:
 def parser() -> argparse.ArgumentParser:
     source = argparse.ArgumentParser(add_help=False)
     source.add_argument("--events", help="path of the event collection")
-    source.add_argument("--events-format", default="parquet", help="parquet, json, mongodb, ...")
+    source.add_argument(
+        "--events-format", default="parquet",
+        help="parquet, json, mongodb, ..., or documents: JSON lines whose fields differ",
+    )
+    source.add_argument("--events-version", help="version of a loaded collection; the last by default")
+    source.add_argument(
+        "--event-field", type=_option, action="append", default=[],
+        help="report field=column (or path of a document) where it has another name",
+    )
+    source.add_argument("--missing-fields", choices=["error", "null"], default="error")
     source.add_argument("--events-option", type=_option, action="append", default=[])
 
     sink = argparse.ArgumentParser(add_help=False)
@@ -93,7 +105,7 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("profile", parents=[profiles, lake])
     job.add_argument("lake", help="headered file")
     job.add_argument("sep")
-    job.add_argument("--schema", help="column types, which saves reading the file to infer them")
+    job.add_argument("--schema", help="column types; found in the pass of the profile without it")
 
     job = jobs.add_parser("join", parents=[source, sink, profiles, lake])
     job.add_argument("lake")
@@ -110,6 +122,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--multiline", action="store_true")
     job.add_argument("--schema", help="column types, which saves reading the file to infer them")
     job.add_argument("--csv-option", type=_option, action="append", default=[])
+    job.add_argument("--keep", type=int, help="versions whose files are kept; all by default")
     return top
 
 
@@ -119,12 +132,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, args.csv, args.collection, args.schema, args.sep, args.multiline,
             **dict(args.csv_option),
         )
+        if args.keep:
+            drop_versions(spark, args.collection, args.keep)
         return
     if args.job == "profile":
-        table = read_table(spark, args.lake, args.sep, args.schema, **dict(args.lake_option))
-        dataset = dataset_name(args.lake)
+        options, dataset = dict(args.lake_option), dataset_name(args.lake)
+        if args.schema:
+            found = profile.profile_columns(read_table(spark, args.lake, args.sep, args.schema, **options))
+        else:
+            found = profile.profile_texts(read_texts(spark, args.lake, args.sep, **options))
         # Stored, so that showing and saving it do not profile twice.
-        columns = stored(profile.profile_columns(table), "profile")
+        columns = stored(found, "profile")
         profile.candidates(columns).orderBy("column_index").show(truncate=False)
         found = profile.metadata(columns, dataset)
         if args.metadata_format:
@@ -134,7 +152,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             profile.save(found, args.metadata)
         return
 
-    events = read_events(spark, args.events, args.events_format, **dict(args.events_option))
+    events = _events_of(spark, args)
     if args.job in LISTED_REPORTS:
         key, documents = LISTED_REPORTS[args.job]
         counts = count_claimed(events) if key == CLAIMANT_FIELD else count_by(events, key)
@@ -153,11 +171,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             write_report(report, args.out, single_file=not args.many_files)
     else:
         lines = strip_header(read_lines(spark, args.lake, **dict(args.lake_option)))
-        index = _stored_key(spark, args)
+        index, known = _stored_key(spark, args), most_bytes(spark, args.lake)
         for given in (events, lines):
             reports.preview(given).show(truncate=False)
         joined = parametric_join(
-            events, lines, args.sep, index, strict=not args.skip_short_lines, as_text=args.as_text
+            events, lines, args.sep, index, strict=not args.skip_short_lines, as_text=args.as_text,
+            known_bytes=known,
         )
         if args.out:
             _save(joined, args)
@@ -165,6 +184,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             reports.preview(joined).show(truncate=False)
 
 
+def _events_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    named, options = dict(args.event_field), dict(args.events_option)
+    if args.events_format == "documents":
+        return read_documents(spark, args.events, fields=named, missing=args.missing_fields, **options)
+    return read_events(
+        spark, args.events, args.events_format, fields=named, missing=args.missing_fields,
+        version=args.events_version, **options,
+    )
+
+
 def _documents_of(args: argparse.Namespace, dataset: str) -> tuple[str | None, dict[str, str]]:
     """Where the profile documents of a dataset are: a sub-path of its own or, in a store
     without paths, a collection of its own."""
@@ -196,7 +225,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         jobs.error("name the stored profiles by --metadata")
     if args.job in INDICATOR_REPORTS and not (args.out or args.documents):
         jobs.error("give the report a folder, or --documents")
-    run(tune(SparkSession.builder.appName(f"lakemark {args.job}").getOrCreate()), args)
+    spark = tune(SparkSession.builder.appName(f"lakemark {args.job}").getOrCreate())
+    # What the job stored on its way goes when its results are written.
+    with staging(spark):
+        run(spark, args)
 
 
 if __name__ == "__main__":

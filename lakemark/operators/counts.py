@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemark.constants import CLAIMANT_FIELD
 from lakemark.functions.events import is_claimed, quoted_name
+from lakemark.operators.places import with_places
 
 
 def count_by(events: DataFrame, key: str) -> DataFrame:
@@ -41,10 +42,6 @@ def part_number(text: Column, parts: Column) -> Column:
     return F.pmod(digest.cast("bigint"), parts)
 
 
-def parts_needed(items: Column, part_size: int) -> Column:
-    return F.ceil(items / F.lit(part_size)).cast("bigint")
-
-
 def keys_by_count(
     counts: DataFrame, key: str, parts: int | None = 1, part_size: int | None = None
 ) -> DataFrame:
@@ -54,22 +51,21 @@ def keys_by_count(
     ``parts=1``: one list for each count, ``(n, keys ARRAY)``; a list is as long as the
     number of keys that share the count, so this is for keys that are few.
     ``parts=P``: every count as P lists, ``(n, part, keys)``, by a hash of the key; lists
-    without keys are left out. ``part_size=S``: as many lists for a count as S keys a list
-    need, about. All lists of a count together hold all its keys, sorted within a
-    list; a null key is kept.
+    without keys are left out. ``part_size=S``: lists of S keys each, the last of a count
+    shorter, in the order of the keys over all lists of the count; none is ever longer. All
+    lists of a count together hold all its keys, sorted within a list; a null key is kept.
     """
     item = quoted_name(key)
     if parts is None and part_size is None:
         return counts.select("n", item.alias("key"))
-    if part_size is not None:
-        sharing = counts.groupBy("n").agg(F.count("*").alias("sharing"))
-        of = sharing.select("n", parts_needed(F.col("sharing"), part_size).alias("of"))
-        placed, number = counts.join(of, "n"), F.col("of")
-    else:
-        placed, number = counts, F.lit(parts)
-    part = part_number(item.cast("string"), number)
+    rows = counts.select("n", item.alias("key"))
     # Collected as structs: collecting a bare column would lose the null key.
     keys = F.transform(F.array_sort(F.collect_list(F.struct("key"))), lambda s: s.key).alias("keys")
-    if parts == 1 and part_size is None:
-        return placed.select("n", item.alias("key")).groupBy("n").agg(keys)
-    return placed.select("n", part.alias("part"), item.alias("key")).groupBy("n", "part").agg(keys)
+    if part_size is not None:
+        part = F.expr(f"place_ div {int(part_size)}")
+        rows = with_places(rows, ["n"], ["key"], "place_")
+    elif parts == 1:
+        return rows.groupBy("n").agg(keys)
+    else:
+        part = part_number(F.col("key").cast("string"), F.lit(parts))
+    return rows.select("n", part.alias("part"), "key").groupBy("n", "part").agg(keys)

@@ -20,6 +20,11 @@ from lakemark.constants import (
 )
 from lakemark.functions.events import quoted_name
 
+# What a text may be besides a text, as bits.
+KIND_NUMBER, KIND_TIME, KIND_TRUTH = 1, 2, 4
+# Relative standard error of the sketches that rule out key columns.
+SKETCH_ERROR = 0.02
+
 
 def digest(value: Column) -> Column:
     """What stands for a text value in a shuffle: its SHA-256, null for null.
@@ -40,7 +45,7 @@ def distinct_groups(df: DataFrame, column: str) -> DataFrame:
     """Number of groups of one column, of any type; null is a group. Texts are shuffled as
     digests."""
     value = quoted_name(column)
-    if isinstance(df.schema[column].dataType, T.StringType):
+    if isinstance(df.select(value).schema[0].dataType, T.StringType):
         value = digest(value)
     return df.agg(
         (F.count_distinct(value) + F.coalesce(F.max(value.isNull().cast("int")), F.lit(0))).alias(
@@ -77,32 +82,103 @@ def profile_columns(df: DataFrame) -> DataFrame:
     (column, digest): equal values meet before the shuffle, and the hash of the
     pair spreads a wide column over all tasks. Distinctness is by SHA-256.
     """
+    return _profile(_groups(df, digest))
+
+
+def _profile(groups: DataFrame) -> DataFrame:
+    return groups.groupBy("column_index", "column_name").agg(
+        F.count("*").alias("different_values"),
+        F.sum(sentinels(F.col("value")).cast("bigint")).alias("sentinel_groups"),
+    )
+
+
+def profile_texts(texts: DataFrame) -> DataFrame:
+    """The same profile of a table whose columns were all read as texts (``read_texts``), types and
+    groups found in one pass.
+
+    Every group of a column says whether its text may be a number, a date or time, or a truth
+    value; a column is of such a type if all of its texts may be, nulls and blanks aside, as
+    a reader that infers types has it, and is then left out like any that is no text.
+    """
+    value = F.col("value")
+    number = value.try_cast("double").isNotNull()
+    kinds = (
+        F.when(number, KIND_NUMBER).when(value.try_cast("timestamp").isNotNull(), KIND_TIME)
+        .when(F.lower(value).isin("true", "false"), KIND_TRUTH).otherwise(0)
+    )
+    # The kind is a function of the text, so any row of a group has it.
+    groups = _groups(texts, lambda v: v, F.max(F.when(F.trim(value) != "", kinds)).alias("kinds"), digested=True)
     return (
-        _groups(df, digest)
-        .groupBy("column_index", "column_name")
+        groups.groupBy("column_index", "column_name")
         .agg(
             F.count("*").alias("different_values"),
-            F.sum(sentinels(F.col("value")).cast("bigint")).alias("sentinel_groups"),
+            F.sum(sentinels(value).cast("bigint")).alias("sentinel_groups"),
+            F.coalesce(F.bit_and("kinds"), F.lit(0)).alias("kinds"),
         )
+        .filter(F.col("kinds") == 0)
+        .drop("kinds")
     )
 
 
-def _groups(df: DataFrame, token: Callable[[Column], Column]) -> DataFrame:
-    """Row counts of (column, token of the value) over the text columns."""
+def find_key(df: DataFrame, error: float = SKETCH_ERROR) -> DataFrame:
+    """The row of ``choose_key`` for a table, with exact counts only where they can matter.
+
+    One pass sketches the number of groups of every text column and finds its sentinels exactly,
+    which moves a row per task. A column with too many sentinel groups is no candidate, and one whose
+    number is, by six standard errors of the sketch, above that of a certain candidate is not
+    the one with the fewest: only the digests of the others are counted.
+    """
     texts = string_columns(df)
+    columns = {at: quoted_name(name) for at, name in texts.items()}
+    sketches = [F.approx_count_distinct(c, error).alias(f"n{at}") for at, c in columns.items()]
+    flags = [
+        F.coalesce(F.max(flag.cast("int")), F.lit(0)).alias(f"s{at}_{i}")
+        for at, c in columns.items()
+        for i, flag in enumerate([c.isNull(), *[c == text for text in SENTINEL_TEXTS]])
+    ]
+    if not texts:
+        return choose_key(_groups_profile(df, []))
+    seen = df.agg(*sketches, *flags).first()
+    few = [at for at in texts if sum(seen[f"s{at}_{i}"] for i in range(1 + len(SENTINEL_TEXTS))) <= MAX_SENTINEL_GROUPS]
+    wide = 6 * error
+    # A null is a group that the sketch does not count.
+    estimate = {at: seen[f"n{at}"] + seen[f"s{at}_0"] for at in few}
+    certain = [n / (1 - wide) for n in estimate.values() if n / (1 + wide) >= MIN_GROUPS]
+    bound = min(certain, default=float("inf"))
+    possible = [at for at, n in estimate.items() if n / (1 + wide) <= bound and n / (1 - wide) >= MIN_GROUPS]
+    return choose_key(_groups_profile(df, possible))
+
+
+def _groups_profile(df: DataFrame, places: list[int]) -> DataFrame:
+    """``profile_columns`` of some of the text columns."""
+    return _profile(_groups(df, digest, columns={at: df.columns[at] for at in places}))
+
+
+def _groups(
+    df: DataFrame, token: Callable[[Column], Column], *more: Column, digested: bool = False, columns: dict[int, str] | None = None
+) -> DataFrame:
+    """Row counts of (column, token of the value) over the text columns, or some of them.
+
+    ``more`` are aggregates of the value; with ``digested`` groups go by its digest.
+    """
+    texts = string_columns(df) if columns is None else columns
     if not texts:
-        empty = "column_index INT, column_name STRING, value STRING, n BIGINT"
+        empty = "column_index INT, column_name STRING, value STRING, n BIGINT, kinds INT"
         return df.sparkSession.createDataFrame([], empty)
     narrow = df.select(*[token(quoted_name(name)).alias(str(at)) for at, name in texts.items()])
     names = F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])
+    cells = narrow.unpivot([], [quoted_name(str(at)) for at in texts], "column_index", "value")
+    group = digest(F.col("value")).alias("digest_") if digested else F.col("value")
     groups = (
-        narrow.unpivot([], [quoted_name(str(at)) for at in texts], "column_index", "value")
-        .groupBy("column_index", "value")
-        .agg(F.count("*").alias("n"))
+        cells.groupBy("column_index", group)
+        .agg(F.count("*").alias("n"), *more)
         .withColumn("column_index", F.col("column_index").cast("int"))
     )
+    if digested:
+        groups = groups.withColumnRenamed("digest_", "value")
+    others = [c for c in groups.columns if c not in ("column_index", "value", "n")]
     return groups.select(
-        "column_index", names[F.col("column_index")].alias("column_name"), "value", "n"
+        "column_index", names[F.col("column_index")].alias("column_name"), "value", "n", *others
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +58,38 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is there yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for paths in _open_scopes:
+        paths.append(path)
+    return path
+
+
+# Paths that were given out since each ``staging`` began.
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A stretch of work at whose end the tables it stored are removed from the shared folder.
+
+    For jobs that have written their results, and for callers that have read theirs: a frame
+    that reads a stored table cannot be read any more.
+    """
+    paths: list[str] = []
+    _open_scopes.append(paths)
+    try:
+        yield
+    finally:
+        _open_scopes[:] = [scope for scope in _open_scopes if scope is not paths]
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder of any file system that Spark reaches; false if it is not there."""
+    jvm, context = spark._jvm, spark.sparkContext._jsc
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context.hadoopConfiguration()).delete(place, True)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from lakemark.constants import (
     SEMICOLON,
     YEAR_FIELD,
 )
-from lakemark.functions.events import list_text, row_text
+from lakemark.functions.events import event_text, list_text, row_text
 from lakemark.functions.lines import key_first_comma, key_plain, key_quoted
 from lakemark.operators import profile
 from lakemark.operators.counts import count_by, count_claimed
@@ -31,10 +31,13 @@ from lakemark.session import fresh_path
 from lakemark.sinks import write_column_values, write_documents, write_report
 from lakemark.sources import (
     dataset_name,
+    first_line,
     ingest_csv,
+    read_documents,
     read_events,
     read_lines,
     read_table,
+    read_texts,
     strip_header,
 )
 from lakemark.workload import standins
@@ -50,6 +53,16 @@ def events_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(events(spark, sf_dir), COUNTRY_FIELD)
 
 
+def events_by_country_named_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a collection whose fields are spelled in other letter case, or named apart."""
+    path = fresh_path(spark, "named-apart")
+    collection = events(spark, sf_dir)
+    collection.select(
+        F.col(COUNTRY_FIELD).alias("Country_TXT"), F.col(YEAR_FIELD).alias("IYEAR"), F.col(CLAIMANT_FIELD).alias("claimed by")
+    ).write.parquet(path)
+    return count_by(read_events(spark, path, fields={CLAIMANT_FIELD: "Claimed By"}), COUNTRY_FIELD)
+
+
 def events_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(events(spark, sf_dir), YEAR_FIELD)
 
@@ -128,6 +141,44 @@ def ingested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(read_events(spark, target), CLAIMANT_FIELD)
 
 
+def replaced_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load a collection twice: events by year of both versions."""
+    source, target = fresh_path(spark, "events-csv"), fresh_path(spark, "collection")
+    collection = events(spark, sf_dir)
+    collection.write.option("header", True).csv(f"{source}/whole")
+    collection.filter(F.col("outcome") == "F").write.option("header", True).csv(f"{source}/finished")
+    first = ingest_csv(spark, f"{source}/whole", target, schema=collection.schema)
+    ingest_csv(spark, f"{source}/finished", target, schema=collection.schema)
+    count = lambda name, **of: count_by(read_events(spark, target, **of), YEAR_FIELD).select(F.lit(name).alias("version"), "*")
+    return count("current").unionByName(count("first", version=first))
+
+
+def _document_file(spark: SparkSession, sf_dir: str) -> str:
+    path = fresh_path(spark, "event-documents")
+    standins.event_documents(spark, sf_dir).write.text(path)
+    return path
+
+
+def row_text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read from documents without a schema, each as the text of the values it has."""
+    documents = read_documents(spark, _document_file(spark, sf_dir))
+    return documents.select(COUNTRY_FIELD, YEAR_FIELD, CLAIMANT_FIELD, event_text(documents).alias("event"))
+
+
+def indicator_matches_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a schema next to the lines of their country, beyond the broadcast limit."""
+    documents = read_documents(spark, _document_file(spark, sf_dir))
+    lines = _filed_indicator_lines(spark, sf_dir)
+    return indicator_matches(documents, lines, ENERGY_CODE, broadcast_bytes=-1)
+
+
+def lake_lines_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents from files in Latin-1, with how often it is there."""
+    path = standins.encoded_file(spark, standins.prose_lines(spark, sf_dir), "ISO-8859-1", "prose")
+    lines = read_lines(spark, path, encoding="ISO-8859-1")
+    return lines.groupBy("value").agg(F.count("*").alias("n"))
+
+
 def _indicator_file(spark: SparkSession, sf_dir: str) -> str:
     lines = indicator_lines(spark, sf_dir)
     return standins.lake_file(spark, lines, standins.INDICATOR_HEADER, "indicators")
@@ -268,12 +319,16 @@ def parametric_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def join_on_profiled_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profile a lake file, store the profile, and join by what it says."""
+    """Profile a lake file, store the profile, and join by what it says.
+
+    The file is read three times: its first line, all of it for the profile, all for the join.
+    """
     path, stored = _totals_file(spark, sf_dir), fresh_path(spark, "metadata")
     dataset = dataset_name("totals.csv")
-    columns = profile.profile_columns(read_table(spark, path, SEMICOLON))
+    header = first_line(read_lines(spark, path))
+    columns = profile.profile_texts(read_texts(spark, path, SEMICOLON, header))
     profile.save(profile.metadata(columns, dataset), stored)
-    return join_profiled(spark, events(spark, sf_dir), path, stored, dataset, SEMICOLON)
+    return join_profiled(spark, events(spark, sf_dir), path, stored, dataset, SEMICOLON, header)
 
 
 def stored_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +357,7 @@ def _profile_of(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def _key_of(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return profile.choose_key(profile.profile_columns(table(spark, sf_dir, name)))
+        return profile.find_key(table(spark, sf_dir, name))
 
     return query
 
@@ -328,6 +383,7 @@ def saved_column_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_by_country": events_by_country,
+    "events_by_country_named_apart": events_by_country_named_apart,
     "events_by_year": events_by_year,
     "events_by_claimant": events_by_claimant,
     "most_attacked_countries": most_attacked_countries,
@@ -340,7 +396,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "saved_documents": saved_documents,
     "ingested_events": ingested_events,
     "ingested_events_multiline": ingested_events_multiline,
+    "replaced_collection": replaced_collection,
     "row_text": row_texts,
+    "row_text_documents": row_text_documents,
+    "indicator_matches_documents": indicator_matches_documents,
+    "lake_lines_latin1": lake_lines_latin1,
     "lake_lines_no_header": lake_lines_no_header,
     "lake_keys": lake_keys,
     "lake_table": lake_table,

@@ -122,6 +122,11 @@ total_lines AS (
 _EVENT_TEXT = """'[' || coalesce(country_txt, 'null') || ', ' || coalesce(CAST(iyear AS VARCHAR), 'null')
   || ', ' || coalesce(gname, 'null') || ', ' || coalesce(outcome, 'null') || ']'"""
 
+# Finished events lack what is null, the others say so and have a nested field.
+_DOCUMENT_TEXT = """CASE WHEN outcome = 'F' THEN '[' || concat_ws(', ', country_txt, iyear, gname, outcome) || ']'
+  ELSE '[' || concat_ws(', ', outcome, coalesce(gname, 'null'), '{"a":[' || iyear || ',1],"z":"' || outcome || '"}',
+                        coalesce(country_txt, 'null'), iyear) || ']' END"""
+
 _TOTALS_JOIN = f"""
 WITH {_EVENTS}, {_TOTALS}
 SELECT country_txt, iyear, gname, outcome, line
@@ -188,6 +193,8 @@ FROM part GROUP BY {name}"""
 ORACLES: dict[str, str] = {
     "events_by_country": f"WITH {_COUNTS.format(key='country_txt')} "
     "SELECT k AS country_txt, n FROM counts",
+    "events_by_country_named_apart": f"WITH {_COUNTS.format(key='country_txt')} "
+    "SELECT k AS country_txt, n FROM counts",
     "events_by_year": f"WITH {_COUNTS.format(key='iyear')} SELECT k AS iyear, n FROM counts",
     "events_by_claimant": f"WITH {_CLAIMS} SELECT k AS gname, n FROM counts",
     "most_attacked_countries": f"WITH {_COUNTS.format(key='country_txt')}"
@@ -197,8 +204,7 @@ ORACLES: dict[str, str] = {
     "claimed_attacks_parts": f"""
 WITH {_CLAIMS},
 placed AS (
-  SELECT n, k, {_PART_OF.format(item="k", total="count(*) OVER (PARTITION BY n)",
-                                size=_PART_SIZE)} AS part
+  SELECT n, k, (row_number() OVER (PARTITION BY n ORDER BY k) - 1) // {_PART_SIZE} AS part
   FROM counts
 )
 SELECT n, part, '[' || string_agg(k, ', ' ORDER BY k) || ']' AS keys
@@ -226,6 +232,21 @@ SELECT lang AS country_txt, CAST(doc_id % 50 AS INTEGER) AS iyear, count(*) AS n
        CAST(sum(length(text) - length(replace(text, chr(10), ''))) AS BIGINT) AS breaks,
        min(md5(text)) AS least_digest
 FROM documents GROUP BY 1, 2""",
+    "replaced_collection": f"""
+WITH {_EVENTS}
+SELECT 'current' AS version, iyear, count(*) AS n FROM events_in WHERE outcome = 'F' GROUP BY ALL
+UNION ALL SELECT 'first', iyear, count(*) FROM events_in GROUP BY ALL""",
+    "row_text_documents": f"""
+WITH {_EVENTS}
+SELECT country_txt, iyear, gname, {_DOCUMENT_TEXT} AS event FROM events_in""",
+    "indicator_matches_documents": f"""
+WITH {_EVENTS}, {_LINES}
+SELECT country_txt, line, {_DOCUMENT_TEXT} AS event, CAST(copies AS BIGINT) AS copies
+FROM events_in JOIN lines ON country_txt = plain WHERE code = '{ENERGY_CODE}'""",
+    "lake_lines_latin1": r"""
+SELECT value, count(*) AS n FROM (
+  SELECT unnest(string_split(regexp_replace(replace(text, chr(13), ''), '[^\x{0}-\x{FF}]', '?', 'g'), chr(10))) AS value FROM documents
+) GROUP BY 1""",
     "row_text": f"""
 WITH {_EVENTS}
 SELECT country_txt, {_EVENT_TEXT} AS event FROM events_in""",
@@ -276,8 +297,7 @@ texts AS (
   FROM events_in WHERE country_txt IS NOT NULL GROUP BY 1, 2
 ),
 placed AS (
-  SELECT *, {_PART_OF.format(item="event", total="sum(times) OVER (PARTITION BY country_txt)",
-                             size=_PART_SIZE)} AS part
+  SELECT *, (row_number() OVER (PARTITION BY country_txt ORDER BY event) - 1) // {_PART_SIZE} AS part
   FROM texts
 )
 SELECT country_txt, line, CAST(copies AS BIGINT) AS copies, part,

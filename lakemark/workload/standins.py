@@ -69,6 +69,35 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as JSON lines, in two kinds that differ in the order and types of fields.
+
+    Finished ones lack what is null; the others say null, have the year as a text and a
+    nested field besides.
+    """
+    rows = events(spark, sf_dir)
+    lacking = F.to_json(F.struct(COUNTRY_FIELD, YEAR_FIELD, CLAIMANT_FIELD, "outcome"))
+    place = F.struct(F.col("outcome").alias("z"), F.array(YEAR_FIELD, F.lit(1)).alias("a"))
+    stating = F.struct(
+        "outcome", F.col(CLAIMANT_FIELD), place.alias("place of it"), F.col(COUNTRY_FIELD), F.col(YEAR_FIELD).cast("string").alias(YEAR_FIELD)
+    )
+    stated = F.to_json(stating, {"ignoreNullFields": "false"})
+    return rows.select(F.when(F.col("outcome") == "F", lacking).otherwise(stated).alias("value"))
+
+
+def prose_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of all documents, blank ones included, in the characters of Latin-1."""
+    text = F.regexp_replace(F.replace("text", F.lit("\r"), F.lit("")), r"[^\x00-\xFF]", "?")
+    return table(spark, sf_dir, "documents").select(F.explode(F.split(text, "\n")).alias("value"))
+
+
+def encoded_file(spark: SparkSession, lines: DataFrame, charset: str, label: str) -> str:
+    """Write lines as text files in a charset that keeps the line feed of ASCII."""
+    path = fresh_path(spark, label)
+    lines.select(F.encode("value", charset).cast("string").alias("value")).write.text(path)
+    return path
+
+
 def _quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped quantity and large returns per nation and quarter.
 

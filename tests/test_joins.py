@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemark.operators import joins
+from lakemark.operators.places import with_places
 from lakemark.plans import reports
 from lakemark.session import fresh_path
 
@@ -84,8 +85,10 @@ def test_match_lists_hold_the_same_events_in_bounded_rows(events, lines, limits)
     ).select("country_txt", "line", "e.event", F.explode(F.array_repeat("copies", F.col("e.times").cast("int"))))
     assert bag(expanded) == bag(flat)
     longest, parts = nested.agg(F.max(F.size("events")), F.count_distinct("part")).first()
-    # 900 events of A in 45 parts, though only 201 are different.
-    assert longest < 20 and parts > 35
+    # 900 events of A, of which 201 are different: lists of 20, and one of one.
+    assert longest == 20 and parts == 11
+    spread = joins.indicator_match_lists(given, lake, CODE, parts=3, **limits)
+    assert spread.filter("country_txt = 'A'").select("part").distinct().count() == 3
 
 
 @pytest.mark.parametrize("limits", WAYS)
@@ -173,8 +176,14 @@ def test_event_fields_keep_their_names(spark, lines, limits):
     assert [tuple(r) for r in texts.collect()] == [("A", "[A, 1, 2, 3, 4, 5, 6, 7]", "1,A")]
     nested = joins.indicator_match_lists(given, lines(wide("A")), CODE, part_size=5, **limits)
     assert nested.count() == 1
-    with pytest.raises(ValueError, match="line"):
-        joins.parametric_join(given.withColumn("line", F.lit(1)), lines("1,A"), ",", 1, **limits)
+    for name in ("line", "LINE"):
+        clash = given.withColumn(name, F.lit(8))
+        with pytest.raises(ValueError, match=name):
+            joins.parametric_join(clash, lines("1,A"), ",", 1, **limits)
+        texts = joins.parametric_join(clash, lines("1,A"), ",", 1, as_text=True, **limits)
+        assert [tuple(r) for r in texts.collect()] == [("A", "[A, 1, 2, 3, 4, 5, 6, 7, 8]", "1,A")]
+        matches = joins.indicator_matches(clash, lines(wide("A")), CODE, **limits)
+        assert [r.event for r in matches.collect()] == ["[A, 1, 2, 3, 4, 5, 6, 7, 8]"]
 
 
 @pytest.fixture
@@ -218,7 +227,7 @@ def test_hot_country_of_a_report_is_split_at_run_time(events, lines, small_skew)
 def test_events_without_lines_are_not_shuffled(spark, events, lines, tmp_path):
     path = str(tmp_path / "c")
     events(*[(f"c{i % 100}", i, "g") for i in range(5000)]).write.parquet(path)
-    nested = joins.indicator_match_lists(spark.read.parquet(path), lines(wide("c7", "1")), CODE)
+    nested = joins.indicator_match_lists(spark.read.parquet(path), lines(wide("c7", "1")), CODE, parts=1)
     assert sum(len(r.events) for r in nested.collect()) == 50
     plan = plan_of(nested)
     semi = plan.index("LeftSemi")
@@ -227,6 +236,84 @@ def test_events_without_lines_are_not_shuffled(spark, events, lines, tmp_path):
     assert "Exchange hashpartitioning(country_txt" not in plan[semi:].split("BroadcastExchange")[0]
 
 
+@pytest.mark.parametrize("join", [
+    lambda e, l: joins.indicator_matches(e, l, CODE, broadcast_bytes=-1),
+    lambda e, l: joins.parametric_join(e, l, ",", 0, broadcast_bytes=-1),
+    lambda e, l: joins.parametric_join(e, l, ",", 0, as_text=True, broadcast_bytes=-1),
+    lambda e, l: joins.indicator_match_lists(e, l, CODE, parts=1, broadcast_bytes=-1),
+])
+def test_events_without_a_line_leave_before_the_shuffle(spark, events, lines, tmp_path, join):
+    """Beyond the broadcast limit: held against the bits of the keys where they are read, and
+    shuffled as typed columns without texts."""
+    path = str(tmp_path / "c")
+    events(*[(f"c{i % 500}", i, "g") for i in range(5000)], (None, 1, "g")).write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join(spark.read.parquet(path), lines(wide("c7", "1"), wide("c9")))
+        found = joined.collect()
+        assert len(found) in (20, 2)
+        plan = plan_of(joined)
+        semi = plan.index("LeftSemi")
+        assert "SortMergeJoin" in plan[:semi] and "Exchange hashpartitioning(country_txt" in plan[:semi]
+        # Below it are the scan of the events and the bits, no shuffle of events.
+        assert "Exchange hashpartitioning(country_txt" not in plan[semi:].split("BroadcastQueryStage")[0]
+        if "event" not in joined.columns and "events" not in joined.columns:
+            return
+        if "event" in joined.columns:
+            assert "array_join" not in plan[semi:] and "array_join" in plan[: plan.index("SortMergeJoin")]
+        metrics = sent_rows(joined)
+        assert max(metrics) <= 20, metrics
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def sent_rows(df):
+    """Rows that each shuffle of a finished plan wrote."""
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_key_bits_miss_no_key(spark, events, lines):
+    """Very many keys, so that many share a row of the table."""
+    given = events(*[(f"c{i}", i, "g") for i in range(4000)], (None, 0, "g"))
+    lake = spark.createDataFrame([(f"c{i}", "x") for i in range(0, 8000, 2)] + [(None, "x")], "country_txt STRING, line STRING")
+    for words in (1, 7, joins.KEY_WORDS):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(joins, "KEY_WORDS", words)
+            left = {r.country_txt for r in joins.with_partner(given, lake, "country_txt").collect()}
+        assert {f"c{i}" for i in range(0, 4000, 2)} <= left and None not in left
+    assert len(left) < 2100
+
+
+def test_places_of_one_large_group(spark, small_skew):
+    """A group in all partitions; no partition holds it."""
+    rows = [(1, f"k{i:05}") for i in range(3000)] + [(None, f"k{i}") for i in range(3)] + [(2, None), (2, "a")]
+    df = spark.createDataFrame(random.Random(0).sample(rows, len(rows)), "n INT, key STRING").repartition(8)
+    placed = with_places(df, ["n"], ["key"])
+    want = {}
+    for n, key in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or "")):
+        want[n, key] = sum(1 for other in want if other[0] == n)
+    got = {(r.n, r.key): r.place for r in placed.collect()}
+    assert got == want
+    plan = plan_of(placed)
+    assert "SinglePartition" not in plan and "FileScan parquet" in plan
+    assert placed.columns == ["n", "key", "place"]
+
+
 def test_hot_lines_are_split_at_run_time(events, lines, small_skew):
     """A key that is hot among the lines only is split by AQE."""
     given = events(*[(f"c{i}", i, "g") for i in range(3000)])
@@ -264,7 +351,7 @@ def test_list_parts_shuffle_the_texts_twice(spark, events, lines, tmp_path):
     """Once to count equal texts, once to collect; the keys of the lines are broadcast."""
     path = str(tmp_path / "c")
     events(*[("A", i, "g") for i in range(50)]).write.parquet(path)
-    nested = joins.indicator_match_lists(spark.read.parquet(path), lines(wide("A", "1")), CODE)
+    nested = joins.indicator_match_lists(spark.read.parquet(path), lines(wide("A", "1")), CODE, parts=1)
     plan = plan_of(nested)
     assert plan.count("FileScan parquet") == 1
     assert len(re.findall(r"Exchange hashpartitioning\(country_txt#\d+, (?:event|part)#", plan)) == 2

@@ -14,7 +14,7 @@ from lakemark.functions.lines import (
     key_quoted,
     series_mean,
 )
-from lakemark.sources import dataset_name, read_lines, read_table, strip_header
+from lakemark.sources import dataset_name, read_lines, read_table, read_texts, strip_header
 
 def value_column():
     return F.col("value")
@@ -156,6 +156,77 @@ def test_header_lines_go_everywhere(spark, lines, tmp_path):
     assert strip_header(lines()).count() == 0
 
 
+TRICKY = "a;b\n\nx\x01y;z\r\n  q\r\r\n\u0085é\u2028\n\t\nlast"
+
+
+@pytest.mark.parametrize("charset", ["ISO-8859-1", "windows-1252", "UTF-16LE", "UTF-16BE", "UTF-16", "UTF-32", "UTF-32BE", "utf-8"])
+@pytest.mark.parametrize("end", ["", "\n", "\r\n", "\r"])
+@pytest.mark.parametrize("whole_files", [False, True])
+def test_encoded_lines_equal_their_twin(spark, tmp_path, charset, end, whole_files):
+    narrow = charset in ("ISO-8859-1", "windows-1252")
+    text = (TRICKY.replace("\u2028", "").replace("\u0085", "ä") if narrow else TRICKY + "漢\U0001f642") + end
+    (tmp_path / "twin.txt").write_bytes(text.encode())
+    data = text.encode(charset)
+    (tmp_path / "coded.txt").write_bytes(data)
+    want = [r[0] for r in spark.read.text(str(tmp_path / "twin.txt")).collect()]
+    got = read_lines(spark, str(tmp_path / "coded.txt"), encoding=charset, whole_files=whole_files)
+    assert [r[0] for r in got.collect()] == want and "" in want and "x\x01y;z" in want
+
+
+@pytest.mark.parametrize("charset", ["ISO-8859-1", "UTF-16LE", "UTF-16"])
+def test_encoded_files_are_split(spark, tmp_path, charset):
+    lines = [f"{i}é{'x' * (i % 50)}" if i % 7 else "" for i in range(5000)]
+    (tmp_path / "coded.txt").write_bytes("\n".join(lines).encode(charset))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10001")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = read_lines(spark, str(tmp_path / "coded.txt"), encoding=charset)
+        rows = got.select("value", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r.value for r in rows) == sorted(lines) and len({r.p for r in rows}) > 5
+
+
+def test_half_characters_are_no_line_feed(spark, tmp_path):
+    text = "one\nਅ一two\n"  # U+0A05, U+4E00: bytes 05 0A 00 4E
+    (tmp_path / "c.txt").write_bytes(text.encode("utf-16-le"))
+    with pytest.raises(Exception, match="whole_files"):
+        read_lines(spark, str(tmp_path / "c.txt"), encoding="UTF-16LE").collect()
+    got = read_lines(spark, str(tmp_path / "c.txt"), encoding="UTF-16LE", whole_files=True)
+    assert [r[0] for r in got.collect()] == ["one", "ਅ一two"]
+
+
+def test_encoding_faults_and_separators(spark, tmp_path):
+    path = tmp_path / "c.txt"
+    path.write_bytes(b"a\x81|b")
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        read_lines(spark, str(path), encoding="US-ASCII").collect()
+    cut = read_lines(spark, str(path), encoding="ISO-8859-1", lineSep="|")
+    assert [r[0] for r in cut.collect()] == ["a\x81", "b"]
+    with pytest.raises(ValueError, match="byte order"):
+        read_lines(spark, str(path), encoding="UTF-16")
+    path.write_bytes("a|b|\n|".encode("utf-16-be"))
+    for whole in (False, True):
+        cut = read_lines(spark, str(path), encoding="UTF-16BE", lineSep="|", whole_files=whole)
+        assert [r[0] for r in cut.collect()] == ["a", "b", "\n"]
+    path.write_bytes(b"")
+    for whole in (False, True):
+        assert read_lines(spark, str(path), encoding="UTF-16LE", whole_files=whole).collect() == []
+
+
+def test_texts_of_a_file(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('k;N;;n;1\n"a;b";1;x;;2.5\n')
+    header = read_lines(spark, str(path)).first()[0]
+    for given in (header, None):
+        df = read_texts(spark, str(path), ";", given)
+        assert df.columns == read_table(spark, str(path), ";").columns == ["k", "N1", "_c2", "n3", "1"]
+        assert [tuple(r) for r in df.collect()] == [("a;b", "1", "x", None, "2.5")]
+    path.write_text("")
+    assert read_texts(spark, str(path)).columns == []
+
+
 def test_table_types_and_delimiter(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('k;n;x\n"a;b";1;1.5\n;2;\n')
