@@ -101,11 +101,12 @@ def profile_texts(texts: DataFrame) -> DataFrame:
     a reader that infers types has it, and is then left out like any that is no text.
     """
     value = F.col("value")
-    number = value.try_cast("double").isNotNull()
-    kinds = (
-        F.when(number, KIND_NUMBER).when(value.try_cast("timestamp").isNotNull(), KIND_TIME)
-        .when(F.lower(value).isin("true", "false"), KIND_TRUTH).otherwise(0)
-    )
+    tests = {
+        KIND_NUMBER: value.try_cast("double").isNotNull(),
+        KIND_TIME: value.try_cast("timestamp").isNotNull(),
+        KIND_TRUTH: F.lower(value).isin("true", "false"),
+    }
+    kinds = sum((F.when(test, bit).otherwise(0) for bit, test in tests.items()), F.lit(0))
     # The kind is a function of the text, so any row of a group has it.
     groups = _groups(texts, lambda v: v, F.max(F.when(F.trim(value) != "", kinds)).alias("kinds"), digested=True)
     return (

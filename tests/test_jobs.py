@@ -4,6 +4,7 @@ import pytest
 
 from lakemark import jobs
 from lakemark.session import SCALE_SETTINGS, tune
+from lakemark.sources import versions
 
 HEADER = ",".join(f'"h{i}"' for i in range(61))
 
@@ -138,10 +139,42 @@ def test_reader_options(spark, run, folder):
     option = ["--lake-option", "encoding=ISO-8859-1"]
     run("ingest", folder / "e.csv", folder / "latin", "--schema", "country_txt STRING, iyear INT", "--csv-option", "encoding=ISO-8859-1")
     run("profile", folder / "latin.csv", ";", "--metadata", folder / "m", "--schema", "id INT, name STRING", *option)
-    run("join", folder / "latin.csv", "latin", ";", "--metadata", folder / "m", "--events", folder / "latin", "--out", folder / "o", *option)
+    join = ["join", folder / "latin.csv", "latin", ";", "--metadata", folder / "m", "--events", folder / "latin", "--out", folder / "o", *option]
+    with pytest.raises(ValueError, match="gname"):
+        run(*join)
+    run(*join, "--missing-fields", "null")
     assert [dict(d)["line"] for d in documents(spark, folder / "o")] == ["1;Perú"]
 
 
+def test_events_as_documents_and_named_apart(spark, run, folder):
+    lines = ['{"Land":"Chad","iyear":1}', '{"Land":"Chad","iyear":"2","gname":"g"}', '{"gname":null,"Land":"Peru"}']
+    (folder / "d.json").write_text("\n".join(lines))
+    events = ["--events", folder / "d.json", "--events-format", "documents"]
+    with pytest.raises(ValueError, match="country_txt"):
+        run("most-attacked-countries", *events, "--out", folder / "x")
+    run("most-attacked-countries", *events, "--event-field", "country_txt=$.Land", "--out", folder / "x")
+    assert documents(spark, folder / "x") == [
+        (("Countries", "[Chad]"), ("NumOfAttacks", 2)), (("Countries", "[Peru]"), ("NumOfAttacks", 1)),
+    ]
+    run("profile", folder / "nations.csv", ";", "--metadata", folder / "m")
+    run(
+        "join", folder / "nations.csv", "nations", ";", "--metadata", folder / "m", *events, "--event-field", "country_txt=$.Land",
+        "--as-text", "--out", folder / "j",
+    )
+    assert sorted(dict(d)["event"] for d in documents(spark, folder / "j")) == ["[Chad, 1]", "[Chad, 2, g]", "[null, Peru]"]
+
+
+def test_ingest_keeps_versions(spark, run, folder):
+    place = folder / "collection"
+    run("ingest", folder / "events.csv", place)
+    first, second = [r["version"] for r in versions(spark, str(place)).orderBy("number").collect()]
+    for version in (first, second):
+        run("attacks-per-year", "--events", place, "--events-version", version, "--out", folder / version)
+    assert documents(spark, folder / first) == documents(spark, folder / second)
+    run("ingest", folder / "events.csv", place, "--keep", 1)
+    assert len(list((place / "versions").iterdir())) == 1
+
+
 def test_report_layouts(spark, run, folder):
     events = ["--events", folder / "collection"]
     run("claimed-attacks", *events, "--out", folder / "long", "--parts", "0")

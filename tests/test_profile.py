@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakemark.operators import profile
-from lakemark.sources import read_table
+from lakemark.operators.joins import join_profiled
+from lakemark.sources import first_line, read_lines, read_table, read_texts
 
 
 def frame(spark, **columns):
@@ -160,3 +161,69 @@ def test_profile_reads_once_and_moves_no_long_values(spark, tmp_path):
     assert plan.count("FileScan") == 1
     before_shuffle = plan.split("Expand")[1]
     assert "sha2" in before_shuffle
+
+
+def test_types_and_profile_in_one_pass(spark, tmp_path):
+    """The same text columns and groups as with types inferred first."""
+    path = tmp_path / "t.csv"
+    rows = ["id;name;n;d;ts;b;mixed;blank;years;half"]
+    for i in range(40):
+        rows.append(f"{i};n{i % 9};{i / 4};2020-01-{i % 28 + 1:02};2020-01-01 10:00:0{i % 10};{'TRUE' if i % 2 else 'false'};{i if i % 2 else 'x' + str(i)};;{'2020' if i % 2 else '2020-01-02'};{'0' if i % 5 else ''}")
+    path.write_text("\n".join(rows) + "\n;null;;;;;;;;\n")
+    inferred = read_table(spark, str(path), ";")
+    want = {tuple(r) for r in profile.profile_columns(inferred).collect()}
+    found = profile.profile_texts(read_texts(spark, str(path), ";"))
+    assert {tuple(r) for r in found.collect()} == want
+    assert {r[1] for r in want} == {"name", "mixed", "blank"}
+    assert profile.choose_key(found).first() == profile.choose_key(profile.profile_columns(inferred)).first()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 2 and "Python" not in plan
+
+
+def test_sketched_key_equals_counted_key(spark):
+    frames = [
+        spark.createDataFrame([(f"a{i}", f"b{i % 7}", f"c{i % 400}", f"d{i % 8}" if i % 3 else None, "0" if i % 2 else None, i) for i in range(3000)], "a STRING, b STRING, c STRING, d STRING, e STRING, f INT"),
+        spark.createDataFrame([(f"a{i % 3}", "x", None) for i in range(50)], "a STRING, b STRING, c STRING"),
+        spark.createDataFrame([(f"a{i % 6}", f"b{i % 6}") for i in range(50)], "`a.x` STRING, b STRING"),
+        spark.createDataFrame([(f"a{i % 4}" if i else None,) for i in range(50)], "a STRING"),
+        spark.createDataFrame([], "a STRING, b INT"),
+        spark.range(3),
+    ]
+    for df in frames:
+        assert profile.find_key(df).first() == profile.choose_key(profile.profile_columns(df)).first()
+
+
+def test_only_columns_that_may_win_are_shuffled(spark, tmp_path):
+    path = str(tmp_path / "c")
+    rows = [(f"w{i}", f"n{i % 40}", f"x{i}", f"y{i % 7}") for i in range(20000)]
+    spark.createDataFrame(rows, "wide STRING, near STRING, wider STRING, key STRING").write.parquet(path)
+    found = profile.find_key(spark.read.parquet(path))
+    assert tuple(found.first()) == (3, True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<key:string>" in plan
+
+
+def input_bytes(spark):
+    """Bytes that all stages so far have read."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    empty = jvm.java.util.ArrayList()
+    stages = store.stageList(empty, False, False, gateway.new_array(jvm.double, 0), empty)
+    return {(stages.apply(i).stageId(), stages.apply(i).attemptId()): stages.apply(i).inputBytes() for i in range(stages.size())}
+
+
+def test_a_profiled_join_reads_the_file_three_times(spark, tmp_path):
+    lake, metadata = tmp_path / "totals.csv", str(tmp_path / "metadata")
+    lake.write_text("id;country\n" + "".join(f"{i};c{i % 50}\n" for i in range(40000)))
+    events = spark.createDataFrame([(f"c{i}", 1, "g") for i in range(3)], "country_txt STRING, iyear INT, gname STRING")
+    events.count()
+    before = input_bytes(spark)
+    header = first_line(read_lines(spark, str(lake)))
+    columns = profile.profile_texts(read_texts(spark, str(lake), ";", header))
+    profile.save(profile.metadata(columns, "totals"), metadata)
+    joined = join_profiled(spark, events, str(lake), metadata, "totals", ";", header)
+    assert joined.count() == 3 * 800
+    read = sum(n for stage, n in input_bytes(spark).items() if stage not in before)
+    size = lake.stat().st_size
+    # The first line is in the first 64 kB; the rest of the file is read twice.
+    assert 2 * size <= read <= 3 * size

@@ -98,3 +98,16 @@ def test_column_values_have_a_folder_per_column(spark, tmp_path):
 
 def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_single_file_is_sorted_by_many_tasks(spark, tmp_path, monkeypatch):
+    """The bytes of a sort in one task, ties and nulls included."""
+    rows = [(i * 7919 % 500, f"c{i % 40}" if i % 9 else None, float(i % 3) if i % 5 else None) for i in range(3000)]
+    report = spark.createDataFrame(rows, REPORT).repartition(8)
+    write_report(report, str(tmp_path / "one"), single_file=True)
+    (file,) = part_files(tmp_path / "one")
+    key = lambda r: (-r[0], r[1] is not None, r[1] or "", r[2] is not None, r[2] or 0.0)
+    text = lambda r: f"({r[0]},({r[1] or 'null'},{'null' if r[2] is None else r[2]}))\n"
+    assert open(file).read() == "".join(map(text, sorted(rows, key=key)))
+    write_report(report.limit(0), str(tmp_path / "none"), single_file=True)
+    assert "".join(open(f).read() for f in part_files(tmp_path / "none")) == ""
