@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemark.llm.common import BROADCAST_BYTES, broadcast_if_small, quoted, stored, text_slices
+from lakemark.llm.filters import as_filter, of_filter
 from lakemark.llm.fingerprints import MIX_1, MIX_2, STEP, mixed
 
 LONGEST = 5
@@ -40,6 +41,8 @@ FAN_BITS = 11
 ROW_WORDS = 1 << 18
 #: Most bits of the table of n-grams that may be frequent: 16 MB.
 TABLE_BITS = 27
+#: Shares of a language that are ranked apart first.
+SHARES = 64
 #: Words whose numbers are given in one window.
 NUMBERED = 100_000
 BREAK = b"\n"
@@ -131,62 +134,6 @@ def counted(limbs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return limbs[starts], np.add.reduceat(counts, starts)
 
 
-def as_filter(limbs: np.ndarray, counts: np.ndarray, widths: list[int]) -> bytes:
-    """A counting quotient filter of sorted permuted n-grams.
-
-    The quotient is the first bits of the first limb, so many that a run has one or two n-grams.
-    Stored are the run lengths of all quotients, the remainders, that is all other bits, and the
-    counters; a length or counter of 255 or more goes to a list behind.
-    """
-    n = len(limbs)
-    q = min(max(n.bit_length() - 1, 0), widths[0])
-    rest = widths[0] - q
-    quotient = (limbs[:, 0] >> np.uint64(rest)).astype(np.int64) if rest < 64 else np.zeros(n, dtype=np.int64)
-
-    def small(values: np.ndarray) -> list[bytes]:
-        large = np.flatnonzero(values >= 255)
-        listed = [np.array([len(large)]), large, values[large]]
-        return [np.minimum(values, 255).astype(np.uint8).tobytes(), *(x.astype(np.int64).tobytes() for x in listed)]
-
-    def low_bytes(limb: np.ndarray, width: int) -> bytes:
-        size = -(-width // 8)
-        return np.ascontiguousarray(limb.astype("<u8").view(np.uint8).reshape(n, 8)[:, :size].T).tobytes()
-
-    remainder = limbs[:, 0] & np.uint64((1 << rest) - 1)
-    parts = [low_bytes(remainder, rest), *(low_bytes(limbs[:, i], w) for i, w in enumerate(widths) if i)]
-    return b"".join([np.array([n, q], dtype=np.int64).tobytes(), *small(np.bincount(quotient, minlength=1 << q)), *parts, *small(counts)])
-
-
-def of_filter(data: bytes, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted permuted n-grams and counts of a filter."""
-    n, q = (int(x) for x in np.frombuffer(data, np.int64, 2))
-    rest, at = widths[0] - q, 16
-
-    def taken(kind: type, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(data, kind, count, at)
-        at += out.nbytes
-        return out
-
-    def small(count: int) -> np.ndarray:
-        values = taken(np.uint8, count).astype(np.int64)
-        large = int(taken(np.int64, 1)[0])
-        places = taken(np.int64, large)
-        values[places] = taken(np.int64, large)
-        return values
-
-    runs = small(1 << q)
-    limbs = np.zeros((n, len(widths)), dtype=np.uint64)
-    for i, width in enumerate([rest, *widths[1:]]):
-        size = -(-width // 8)
-        cells = np.zeros((n, 8), dtype=np.uint8)
-        cells[:, :size] = taken(np.uint8, n * size).reshape(size, n).T
-        limbs[:, i] = cells.view("<u8")[:, 0]
-    if q:
-        limbs[:, 0] |= np.repeat(np.arange(len(runs), dtype=np.uint64), runs) << np.uint64(rest)
-    return limbs, small(n)
-
-
 def merged(filters: list[bytes], widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of several filters, sorted, counts added up; two by two, so that what several
     filters hold is one entry early."""
@@ -502,7 +449,10 @@ def collocations(
     in_order = F.array_sort(F.collect_list(F.struct("place", "word")))
     spelled = spelled.groupBy("ids").agg(F.array_join(F.transform(in_order, lambda s: s["word"]), " ").alias("phrase"))
     rows = scored.join(spelled, "ids").select("lang", "phrase", "a", "weakest.l", "weakest.r", "n", "weakest.score")
-    # Spark keeps the first rows of every task before it brings a language together.
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # First within shares of a language, so that its last window sees a bounded number of rows.
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    rows = rows.withColumn("share_", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    shares = Window.partitionBy("lang", "share_").orderBy(*best)
+    rows = rows.withColumn("rank", F.row_number().over(shares)).filter(F.col("rank") <= top).drop("rank")
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -53,30 +53,40 @@ WITH words AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents
 ), places AS (
   SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM words
-), pairs AS (
-  SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS prior FROM places
+), grams AS (
+  SELECT doc_id, word, lag(word) OVER byplace AS prior, lag(word, 2) OVER byplace AS first
+  FROM places WINDOW byplace AS (PARTITION BY doc_id ORDER BY place)
 ), corpus AS (SELECT count(*) AS n FROM places),
 one AS (SELECT word, count(*) AS c FROM places GROUP BY word),
 own_one AS (SELECT doc_id, word, count(*) AS c FROM places GROUP BY doc_id, word),
-two AS (SELECT prior, word, count(*) AS c FROM pairs WHERE prior IS NOT NULL GROUP BY ALL),
-own_two AS (SELECT doc_id, prior, word, count(*) AS c FROM pairs WHERE prior IS NOT NULL GROUP BY ALL),
+two AS (SELECT prior, word, count(*) AS c FROM grams WHERE prior IS NOT NULL GROUP BY ALL),
+own_two AS (SELECT doc_id, prior, word, count(*) AS c FROM grams WHERE prior IS NOT NULL GROUP BY ALL),
+three AS (SELECT first, prior, word, count(*) AS c FROM grams WHERE first IS NOT NULL GROUP BY ALL),
+own_three AS (SELECT doc_id, first, prior, word, count(*) AS c FROM grams WHERE first IS NOT NULL GROUP BY ALL),
 sizes AS (SELECT doc_id, len(w) AS m FROM words),
 looked AS (
-  SELECT p.doc_id, p.prior,
+  SELECT p.doc_id, p.prior, p.first,
+         coalesce(three.c - own_three.c, 0) AS triple, ctx2.c - own_ctx2.c AS pair_context,
          coalesce(two.c - own_two.c, 0) AS pair, ctx.c - own_ctx.c AS context, one.c - own_one.c AS single,
          greatest(n - m, 1) AS others
-  FROM pairs p JOIN sizes ON p.doc_id = sizes.doc_id CROSS JOIN corpus
+  FROM grams p JOIN sizes ON p.doc_id = sizes.doc_id CROSS JOIN corpus
   JOIN one ON p.word = one.word
   JOIN own_one ON p.doc_id = own_one.doc_id AND p.word = own_one.word
   LEFT JOIN one ctx ON p.prior = ctx.word
   LEFT JOIN own_one own_ctx ON p.doc_id = own_ctx.doc_id AND p.prior = own_ctx.word
   LEFT JOIN two ON p.prior = two.prior AND p.word = two.word
   LEFT JOIN own_two ON p.doc_id = own_two.doc_id AND p.prior = own_two.prior AND p.word = own_two.word
+  LEFT JOIN two ctx2 ON p.first = ctx2.prior AND p.prior = ctx2.word
+  LEFT JOIN own_two own_ctx2 ON p.doc_id = own_ctx2.doc_id AND p.first = own_ctx2.prior AND p.prior = own_ctx2.word
+  LEFT JOIN three ON p.first = three.first AND p.prior = three.prior AND p.word = three.word
+  LEFT JOIN own_three ON p.doc_id = own_three.doc_id AND p.first = own_three.first AND p.prior = own_three.prior
+    AND p.word = own_three.word
 ), summed AS (
   SELECT doc_id, sum(CASE
-    WHEN pair > 0 THEN log10(pair / context::DOUBLE)
-    WHEN prior IS NULL THEN log10(greatest(single, 1) / others::DOUBLE)
-    ELSE log10(0.4::DOUBLE) + log10(greatest(single, 1) / others::DOUBLE) END) AS score
+    WHEN triple > 0 THEN log10(triple / pair_context::DOUBLE)
+    WHEN pair > 0 THEN CASE WHEN first IS NULL THEN 0 ELSE log10(0.4::DOUBLE) END + log10(pair / context::DOUBLE)
+    ELSE (CASE WHEN first IS NULL THEN 0 ELSE 1 END + CASE WHEN prior IS NULL THEN 0 ELSE 1 END) * log10(0.4::DOUBLE)
+         + log10(greatest(single, 1) / others::DOUBLE) END) AS score
   FROM looked GROUP BY doc_id
 )
 SELECT sizes.doc_id, CAST(m AS BIGINT) AS n_words, round(coalesce(score, 0), 3) AS log10_score,

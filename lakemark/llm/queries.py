@@ -48,7 +48,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document under the bigram counts of all others."""
+    """Stupid-backoff score of every document under the counts of up to three words of all others."""
     rows = backoff_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
     mean = F.when(F.col("n_words") > 0, F.col("log10_score") / F.col("n_words"))
     return rows.select(

@@ -4,7 +4,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lakemark.llm.lm_scoring import backoff_scores, planes, table_starts, unplaned
+from lakemark.llm import lm_scoring
+from lakemark.llm.filters import read_small, small_numbers
+from lakemark.llm.lm_scoring import backoff_scores, hash_bits, table_starts
 
 import numpy as np
 
@@ -54,19 +56,48 @@ def test_empty_table_and_clashing_columns(no_docs, wide_docs):
     assert backoff_scores(wide_docs).count() == wide_docs.count()
 
 
-def test_planes_round_trip():
-    for kind in (np.uint64, np.int64, np.uint32):
-        values = np.array([0, 1, 2**31, 77], dtype=kind)
-        assert (unplaned(planes(values), kind) == values).all()
-    hashes = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
-    starts = table_starts(hashes, 7)
-    assert starts[0] == 0 and starts[-1] == 1000 and (np.diff(starts) > 90).all()
+def test_tables_are_even_ranges():
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64)) >> np.uint64(14)
+    starts = table_starts(7, 50)
+    assert starts[0] == 0 and (np.diff(np.append(np.searchsorted(hashes, starts), 1000)) > 90).all()
+    assert [hash_bits(n) for n in (0, 1 << 20, 10**9, 10**14)] == [48, 48, 50, 64]
+    many = np.array([0, 254, 255, 10**12, 3])
+    assert (read_small(b"xy" + small_numbers(many) + b"z", 5, 2)[0] == many).all()
+
+
+def test_repeated_and_empty_rows_are_several_blocks(spark):
+    """Rows that are equal in all columns, and rows without words: no block holds them all."""
+    rows = [(1, "same words again and again " * 4)] * 400 + [(None, None)] * 500 + [(i, f"w{i} same words w{i}") for i in range(2, 60)]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4)
+    groups = []
+    real = lm_scoring.stored
+
+    def kept(df, label):
+        if label == "lm-scores":
+            df = df.withColumn("p", F.spark_partition_id())
+            df = real(df, label)
+            groups.append(max(r["count"] for r in df.groupBy("p").count().collect()))
+            return df.drop("p")
+        return real(df, label)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lm_scoring, "stored", kept)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = backoff_scores(frame, block_bytes=6_000).collect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = by_hand([t for _, t in rows], 3, 0.4)
+    key = lambda r: (r[0] is None, r[0] or 0)
+    got = sorted(((r.id, r.n_words, r.log10_score) for r in got), key=key)
+    want = sorted(((i, n, s) for (i, _), (n, s) in zip(rows, want)), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-5)
+    assert groups[0] < 600
 
 
 def test_exchange_of_blocks_is_shared(spark, docs):
     """Both passes over the blocks read one shuffle of the texts."""
-    from lakemark.llm import lm_scoring
-
     plans = []
     real = lm_scoring.stored
 
@@ -80,4 +111,4 @@ def test_exchange_of_blocks_is_shared(spark, docs):
         backoff_scores(docs).select(F.sum("n_words")).collect()
     finally:
         lm_scoring.stored = real
-    assert "ReusedExchange" in plans[0]
+    assert "ReusedExchange" in plans[-1]
