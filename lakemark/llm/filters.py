@@ -5,20 +5,28 @@ from __future__ import annotations
 import numpy as np
 
 
-def small_numbers(values: np.ndarray) -> bytes:
-    """Numbers from 0 that are mostly small: a byte each, 255 and more in a list behind."""
-    large = np.flatnonzero(values >= 255)
+def small_numbers(values: np.ndarray, halves: bool = False) -> bytes:
+    """Numbers from 0 that are mostly small, in a byte each or half of one; larger ones are in a list
+    behind."""
+    top = 15 if halves else 255
+    large = np.flatnonzero(values >= top)
+    cells = np.minimum(values, top).astype(np.uint8)
+    if halves:
+        cells = np.append(cells, np.zeros(len(cells) % 2, dtype=np.uint8))
+        cells = cells[::2] << 4 | cells[1::2]
     listed = (np.array([len(large)]), large, values[large])
-    return b"".join([np.minimum(values, 255).astype(np.uint8).tobytes(), *(x.astype(np.int64).tobytes() for x in listed)])
+    return b"".join([cells.tobytes(), *(x.astype(np.int64).tobytes() for x in listed)])
 
 
-def read_small(data: bytes, count: int, at: int = 0) -> tuple[np.ndarray, int]:
+def read_small(data: bytes, count: int, at: int = 0, halves: bool = False) -> tuple[np.ndarray, int]:
     """``count`` numbers of ``small_numbers`` at a place in ``data``, and the place behind them."""
-    values = np.frombuffer(data, np.uint8, count, at).astype(np.int64)
-    large = int(np.frombuffer(data, np.int64, 1, at + count)[0])
-    places, found = np.frombuffer(data, np.int64, 2 * large, at + count + 8).reshape(2, large)
+    size = (count + 1) // 2 if halves else count
+    cells = np.frombuffer(data, np.uint8, size, at)
+    values = (np.stack([cells >> 4, cells & 15], axis=1).ravel()[:count] if halves else cells).astype(np.int64)
+    large = int(np.frombuffer(data, np.int64, 1, at + size)[0])
+    places, found = np.frombuffer(data, np.int64, 2 * large, at + size + 8).reshape(2, large)
     values[places] = found
-    return values, at + count + 8 + 16 * large
+    return values, at + size + 8 + 16 * large
 
 
 def as_filter(limbs: np.ndarray, counts: np.ndarray, widths: list[int]) -> bytes:
@@ -39,14 +47,14 @@ def as_filter(limbs: np.ndarray, counts: np.ndarray, widths: list[int]) -> bytes
 
     remainder = limbs[:, 0] & np.uint64((1 << rest) - 1)
     parts = [low_bytes(remainder, rest), *(low_bytes(limbs[:, i], w) for i, w in enumerate(widths) if i)]
-    return b"".join([np.array([n, q], dtype=np.int64).tobytes(), small_numbers(np.bincount(quotient, minlength=1 << q)), *parts, small_numbers(counts)])
+    return b"".join([np.array([n, q], dtype=np.int64).tobytes(), small_numbers(np.bincount(quotient, minlength=1 << q), halves=True), *parts, small_numbers(counts)])
 
 
 def of_filter(data: bytes, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """The sorted permuted n-grams and counts of a filter."""
     n, q = (int(x) for x in np.frombuffer(data, np.int64, 2))
     rest = widths[0] - q
-    runs, at = read_small(data, 1 << q, 16)
+    runs, at = read_small(data, 1 << q, 16, halves=True)
     limbs = np.zeros((n, len(widths)), dtype=np.uint64)
     for i, width in enumerate([rest, *widths[1:]]):
         size = -(-width // 8)

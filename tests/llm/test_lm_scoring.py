@@ -62,7 +62,10 @@ def test_tables_are_even_ranges():
     assert starts[0] == 0 and (np.diff(np.append(np.searchsorted(hashes, starts), 1000)) > 90).all()
     assert [hash_bits(n) for n in (0, 1 << 20, 10**9, 10**14)] == [48, 48, 50, 64]
     many = np.array([0, 254, 255, 10**12, 3])
-    assert (read_small(b"xy" + small_numbers(many) + b"z", 5, 2)[0] == many).all()
+    for halves in (False, True):
+        data = b"xy" + small_numbers(many, halves)
+        found, behind = read_small(data + b"z", 5, 2, halves)
+        assert (found == many).all() and behind == len(data)
 
 
 def test_repeated_and_empty_rows_are_several_blocks(spark):
