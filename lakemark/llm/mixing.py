@@ -2,7 +2,8 @@
 
 Every source gets a target in words; its documents repeat at the rate
 target / size: floor(rate) copies of each, and one more with the probability of
-the fraction, drawn from a hash of the seed and the document id.
+the fraction, drawn from a hash of the seed, the document's id and text, and its number among
+rows that have both the same.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemark.llm.common import broadcast_if_small, packed, quoted, stored, unpacked
+from lakemark.operators.places import with_places
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -66,11 +68,32 @@ def source_targets(
     return rows.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def same_rows(docs: DataFrame, doc_id: str, text: str) -> Column:
+    """What rows of one id and text share; a null text is an empty one."""
+    return F.xxhash64(quoted(doc_id).isNull(), quoted(doc_id), F.coalesce(quoted(text), F.lit("")))
+
+
+def with_numbers(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``number``, from 1 within the rows of one ``same``.
+
+    Only hashes are shuffled to find the rows that are repeated; where there are none, none
+    moves. Repeated rows are numbered by ``with_places``, which no large group holds up.
+    """
+    repeated = stored(keys.groupBy("same").agg(F.count("*").alias("n")).filter("n > 1").select("same"), "mix-repeats")
+    if repeated.isEmpty():
+        return rows.withColumn("number", F.lit(1).cast("long"))
+    told = broadcast_if_small(repeated)
+    single = rows.join(told, "same", "left_anti").withColumn("number", F.lit(1).cast("long"))
+    several = rows.join(told, "same", "left_semi").withColumn("order_", F.xxhash64(F.monotonically_increasing_id()))
+    placed = with_places(several, ["same"], ["order_"], "place_")
+    return single.unionByName(placed.withColumn("number", F.col("place_") + 1).drop("order_", "place_"))
+
+
 def planned(
     docs: DataFrame, doc_id: str, text: str, source: str, weights, share, cap, seed
 ) -> DataFrame:
     """Every document as ``row_`` with size, source_size, target, rate, copies and taken."""
-    rows = packed(docs, key=quoted(doc_id), source=quoted(source), size=word_count(quoted(text)))
+    rows = packed(docs, key=quoted(doc_id), source=quoted(source), size=word_count(quoted(text)), same=same_rows(docs, doc_id, text))
     sizes = docs.select(quoted(source).alias("source"), word_count(quoted(text)).alias("size"))
     sizes = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sizes")
     targets = stored(source_targets(sizes, weights, share, cap), "mix-targets")
@@ -79,7 +102,10 @@ def planned(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     rate = F.least(F.coalesce(rate, F.lit(0.0)), F.lit(cap))
     rows = rows.withColumn("rate", rate)
-    extra = uniform(F.col("key"), seed) < F.col("rate") - F.floor("rate")
+    rows = with_numbers(rows, docs.select(same_rows(docs, doc_id, text).alias("same")))
+    digest = F.md5(F.coalesce(F.col("row_").getField(text), F.lit("")))
+    drawn = F.concat_ws(":", F.coalesce(F.col("key").cast("string"), F.lit("null")), digest, F.col("number").cast("string"))
+    extra = uniform(drawn, seed) < F.col("rate") - F.floor("rate")
     rows = rows.withColumn("copies", F.floor("rate") + extra.cast("long"))
     return rows.withColumn("taken", F.col("copies") * F.col("size"))
 
@@ -90,8 +116,9 @@ def mixing_plan(
 ) -> DataFrame:
     """One row per document: its id, size, source_size, target, rate, copies and taken words.
 
-    A null text has size 0, null sources are one source, a null id draws like any id, rows
-    of one id draw alike, an empty table gives no rows. Sizes are summed before
+    A null text has size 0, null sources are one source, a null id draws like any id. Rows that
+    repeat an id and a text draw each by its number among them, so a source of such rows
+    comes near its target too. An empty table gives no rows. Sizes are summed before
     anything is joined, so a source with a third of all rows is one row; the documents are
     joined to the measured table of sources and do not move unless there are more sources
     than may be broadcast.

@@ -2,7 +2,8 @@
 
 MIXING = r"""
 WITH docs AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+         row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) AS number,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents
 ), sizes AS (
@@ -31,7 +32,7 @@ WITH docs AS (
 ), rated AS (
   SELECT doc_id, size, source_size, target,
          least(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END, 2.0::DOUBLE) AS rate,
-         ('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT
+         ('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || digest || ':' || number), 1, 13))::BIGINT
            / 4503599627370496.0::DOUBLE AS draw
   FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
 ), counted AS (

@@ -99,7 +99,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, next to the targets of its source."""
     rows = mixing_plan(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", "target", "copies", "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,8 +116,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(line, ",")
 
     return rows.select(
-        "doc_id", number("assign"), number("access"), number("hex"), number("format"),
-        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+        "doc_id", number("assign"), number("access"), number("hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), number("format"),
     )
 
 

@@ -2,7 +2,7 @@
 
 The values found by the patterns are the labelled credentials. For each kind a prefix tree of
 their symbol classes is built and statistically compatible states are merged, which gives a
-probabilistic automaton. Every long run of credential characters is then scored:
+probabilistic automaton. Every run of credential characters of the patterns' least length is then scored:
 log-likelihood under the best automaton against that under an automaton of ordinary runs.
 """
 
@@ -29,8 +29,11 @@ HEX = re.compile("[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Kinds in the order in which spans with one start are listed.
 KINDS = ("assign", "access", "hex", "format")
-#: Runs that are scored: as long as this, of characters of keys and encoded bytes.
-CANDIDATE = re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+#: Runs that are scored: as long as the values of the patterns, of their characters. An equals sign
+#: ends a run, as what follows it is a value of its own, or pads it; dots are inside only.
+CANDIDATE = re.compile("(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{4,}[A-Za-z0-9+/_-]={0,2}")
+#: Runs whose scores a worker remembers.
+REMEMBERED = 500_000
 
 #: Documents from which credentials and ordinary runs are taken for the fit, about.
 SAMPLE_DOCS = 50_000
@@ -66,6 +69,18 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return found
 
 
+def free_runs(text: str, spans: list[tuple]) -> Iterator[re.Match]:
+    """The candidates that meet none of ``spans``, in order; each span is looked at once."""
+    held = sorted((start, end) for start, end, *_ in spans)
+    at, reach = 0, 0
+    for m in CANDIDATE.finditer(text):
+        while at < len(held) and held[at][0] < m.end():
+            reach = max(reach, held[at][1])
+            at += 1
+        if reach <= m.start():
+            yield m
+
+
 @dataclass
 class Automaton:
     """States with counts of the strings that pass, end and go on by each symbol."""
@@ -181,6 +196,7 @@ class FormatModel:
     formats: dict[str, tuple[Automaton, float]]
     ordinary: Automaton
     least_ratio: float
+    known: dict[str, float] = field(default_factory=dict, repr=False, compare=False)
 
     def score(self, run: str) -> float:
         """Best log-likelihood ratio over the formats that the run is typical of, letters
@@ -190,6 +206,18 @@ class FormatModel:
         return max(found) - self.ordinary.likelihood(string) if found else -math.inf
 
 
+    def scored(self, run: str) -> float:
+        """``score``, remembered for runs of ordinary length."""
+        known = self.known.get(run)
+        if known is None:
+            known = self.score(run)
+            if len(run) < 100:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[run] = known
+        return known
+
+
 def model_of(strings: dict[str, list[str]], alpha: float = ALPHA, least_ratio: float = LEAST_RATIO) -> FormatModel:
     """Automata of the labelled strings by kind; kind ``ordinary`` is what they are held against."""
     coded = {kind: sorted(s.translate(TRANSLATION) for s in own) for kind, own in strings.items()}
@@ -206,13 +234,15 @@ def fit_formats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS,
     sample_strings: int = SAMPLE_STRINGS, alpha: float = ALPHA, least_ratio: float = LEAST_RATIO,
 ) -> FormatModel:
-    """Fit on the documents of a bounded sample picked by a hash of the id.
+    """Fit on the documents of a bounded sample picked by a hash of id and text, so that rows of one
+    id, or without one, are in it or not each on its own.
 
     Only different credentials and ordinary runs come to the driver, at most
-    ``sample_strings`` of a kind. A kind with too few credentials gets no automaton.
+    ``sample_strings`` of a kind, so repeated rows count once. A kind with too few credentials,
+    as all have in an empty table, gets no automaton. Null texts are left out.
     """
     n = docs.count()
-    part = F.pmod(F.xxhash64(F.lit("formats"), quoted(doc_id)), F.lit(1 << 30))
+    part = F.pmod(F.xxhash64(F.lit("formats"), quoted(doc_id), quoted(text)), F.lit(1 << 30))
     share = min(1.0, sample_docs / max(n, 1))
     texts = docs if share == 1 else docs.filter(part < F.lit(int((1 << 30) * share)))
     texts = texts.select(quoted(text).alias("text"))
@@ -223,9 +253,7 @@ def fit_formats(
             for t in filter(None, batch.column(0).to_pylist()):
                 spans = base_spans(t)
                 found.update((kind, t[value:end]) for _, end, kind, value in spans if end - value <= 200)
-                for m in CANDIDATE.finditer(t):
-                    if m.end() - m.start() <= 200 and not any(s < m.end() and m.start() < e for s, e, *_ in spans):
-                        found.add(("ordinary", m.group()))
+                found.update(("ordinary", m.group()) for m in free_runs(t, spans) if m.end() - m.start() <= 200)
             pairs = sorted(found)
             yield pa.record_batch([pa.array([k for k, _ in pairs], pa.string()), pa.array([s for _, s in pairs], pa.string())], ["kind", "string"])
 
@@ -244,13 +272,10 @@ def all_spans(model: FormatModel, text: str | None) -> list[tuple[int, int, str,
     if not text:
         return []
     spans = [(start, end, kind, None) for start, end, kind, _ in base_spans(text)]
-    if model.formats:
-        held = list(spans)
-        for m in CANDIDATE.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, e, *_ in held):
-                score = model.score(m.group())
-                if score >= model.least_ratio:
-                    spans.append((m.start(), m.end(), "format", score))
+    # Most texts have no run that is a secret, and the same runs again and again.
+    if model.formats and any(model.scored(run) >= model.least_ratio for run in set(CANDIDATE.findall(text))):
+        runs = ((m, model.scored(m.group())) for m in free_runs(text, spans))
+        spans += [(m.start(), m.end(), "format", score) for m, score in runs if score >= model.least_ratio]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 

@@ -8,6 +8,7 @@ words. The expected severity is the sum of these probabilities over k.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +27,8 @@ from lakemark.llm.pairing import local_roots
 
 #: Labelled rows that a fit reads at most.
 SAMPLE_ROWS = 8_000
+#: Different words of a text that a fit uses at most.
+WORDS_OF_TEXT = 20_000
 #: Documents of the sample, near copies counting as one, that a feature must occur in.
 MIN_DOCS = 3
 #: Letters of the beginnings that are features; they stand for all inflected forms. One, two
@@ -55,6 +58,14 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
+def sample_words(text: str | None) -> list[str]:
+    """The sorted words of a text for a fit, at most ``WORDS_OF_TEXT``."""
+    words = words_of(text)
+    if len(words) > WORDS_OF_TEXT:
+        words = sorted(words, key=lambda w: (zlib.crc32(w.encode()), w))[:WORDS_OF_TEXT]
+    return sorted(words)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     """Logistic function without overflow."""
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -184,8 +195,10 @@ def fit_toxicity(
     """Fit on at most ``sample_rows`` labelled documents, picked by a hash of their id.
 
     ``labels`` has ``doc_id`` and an integer ``grade``; null ids and grades are left out, and
-    of several grades of a document the highest counts. Only the sample's sets of words
-    come to the driver. Without labelled rows, or with one grade alone, all weights are 0
+    of several grades of a document the highest counts. Of rows that share an id the text with the
+    least digest is taken, so the sample has one row an id and does not depend on how rows are
+    placed. Only its sets of words come to the driver, of a text with more than
+    ``WORDS_OF_TEXT`` different ones those with the least hashes. Without labelled rows, or with one grade alone, all weights are 0
     and the severity of every text is that grade, or 0.
     """
     graded = labels.select(quoted(doc_id).alias("key"), quoted(grade).cast("int").alias("grade"))
@@ -199,17 +212,19 @@ def fit_toxicity(
     texts = docs.select(quoted(doc_id).alias("key"), quoted(text).alias("text"))
     # The sample has at most sample_rows rows of 12 bytes: a bounded broadcast.
     texts = texts.join(F.broadcast(picked.limit(sample_rows)), "key")
+    # One row an id, the text of the least digest, brought down in every task before it moves.
+    least = F.min(F.struct(F.sha2("text", 256).alias("digest"), "text")).alias("least")
+    texts = texts.groupBy("key", "grade").agg(least).select("key", "grade", "least.text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            found = [sorted(words_of(t)) for t in batch.column("text").to_pylist()]
+            found = [sample_words(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("key"), batch.column("grade"), pa.array(found, pa.list_(pa.string()))], ["key", "grade", "words"])
 
     found = T.StructField("words", T.ArrayType(T.StringType()))
     texts = texts.select("key", "grade", "text")
     rows = texts.mapInArrow(features, T.StructType([*texts.schema.fields[:2], found]))
-    # Repeated ids could return more rows than the sample has ids.
-    got = rows.limit(2 * sample_rows).toArrow().combine_chunks()
+    got = rows.toArrow().combine_chunks()
     if not got.num_rows:
         return OrdinalModel({}, (), (0,))
     # A fixed order makes the floating point sums, and so the model, the same in every run.

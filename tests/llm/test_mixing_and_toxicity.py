@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakemark.llm.mixing import mix, mixing_plan, source_targets
 from lakemark.llm.queries import graded_labels, op10_toxicity
-from lakemark.llm.toxicity import OrdinalModel, fit_ordinal, fit_toxicity, score_toxicity, severities
+from lakemark.llm.toxicity import STEMS, OrdinalModel, fit_ordinal, fit_toxicity, sample_words, score_toxicity, severities
 
 
 def targets_by_hand(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
@@ -54,6 +54,39 @@ def test_taken_words_come_near_the_targets(spark):
     assert all(r.taken == pytest.approx(r.target, rel=0.05) for r in got)
 
 
+def test_rows_of_one_id_draw_apart(spark):
+    """A third of all rows without an id, half of these equal: their source meets its target."""
+    rows = [(None, "same words " * 5 if i % 2 else f"other {i} words here", "s0") for i in range(2000)]
+    rows += [(i, f"text {i} of its own", f"s{1 + i % 2}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING").repartition(7)
+    plan = mixing_plan(docs)
+    got = plan.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in got) == 6000 and all(r.taken == pytest.approx(r.target, rel=0.06) for r in got)
+    counted = lambda df: sorted((str(r.doc_id), r.size, r.copies, r["count"]) for r in df.groupBy("doc_id", "size", "copies").count().collect())
+    assert counted(mixing_plan(docs.repartition(3))) == counted(plan)
+    assert mix(docs).count() == plan.agg(F.sum("copies")).first()[0]
+
+
+def test_draws_by_hand(spark, tables):
+    """Copies of repeated rows against the SQL of the query."""
+    from lakemark.llm.oracles import MIXING
+
+    rows = [(i % 40 if i % 3 else None, ["a b c", None, "", "d e"][i % 4], f"s{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    connection = __import__("duckdb").connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = connection.execute(f"SELECT doc_id, size, copies FROM ({MIXING})").fetchall()
+    # Rows of one id and text may be of different sources; which one gets which number is open.
+    got = [(r.doc_id, r.size, r.copies) for r in mixing_plan(docs).collect()]
+    assert sorted((str(i), s) for i, s, _ in got) == sorted((str(i), s) for i, s, _ in want)
+    one = docs.withColumn("source", F.lit("s"))
+    connection.execute("UPDATE documents SET source = 's'")
+    want = connection.execute(f"SELECT doc_id, size, copies FROM ({MIXING})").fetchall()
+    got = [(r.doc_id, r.size, r.copies) for r in mixing_plan(one).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_native_plan(docs):
     for frame in (mixing_plan(docs), mix(docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -113,3 +146,40 @@ def test_toxicity_edge_cases(spark, sf_dir, docs, wide_docs, no_docs):
     assert scored.columns == wide_docs.columns and scored.count() == wide_docs.count()
     assert score_toxicity(no_docs, model).collect() == []
     assert op10_toxicity(spark, sf_dir).columns == ["doc_id", "severity", "rejected"]
+
+
+def test_query_by_the_definition(spark, sf_dir):
+    """Severities of the whole table from the weights, worked out feature by feature."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = fit_toxicity(docs, graded_labels(spark, sf_dir))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in op10_toxicity(spark, sf_dir).collect():
+        words = {w for w in "".join(c if c.isalpha() else " " for c in texts[r.doc_id].lower()).split()}
+        total = 0.0
+        for feature, weight in model.weights.items():
+            number, _, begin = feature.partition("^")
+            present = feature in words if not begin else sum(w.startswith(begin) for w in words) >= int(number)
+            total += weight * present
+        above = [1 / (1 + np.exp(cut - total)) for cut in model.thresholds]
+        severity = model.grades[0] + sum(a * (y - x) for a, x, y in zip(above, model.grades, model.grades[1:]))
+        assert r.severity == pytest.approx(severity, abs=2e-6) and r.rejected == (severity >= 0.5)
+    assert set(map(len, (f.partition("^")[2] for f in model.weights if "^" in f))) <= set(STEMS)
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    """One labelled id with most rows, in any order: the model of the other documents."""
+    own = lambda i: " ".join("".join(chr(97 + int(c)) for c in str(i * 7919 + k * 104729)) for k in range(12))
+    bad = [(i, f"awful {own(i)}", 1) for i in range(40)]
+    good = [(100 + i, f"good {own(100 + i)}", 0) for i in range(200)]
+    hot = [(100, f"repeated filler {i}", 0) for i in range(3000)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id BIGINT, text STRING, grade INT")
+    labels = frame(bad + good).select("doc_id", "grade")
+    models = [fit_toxicity(frame(rows), labels, sample_rows=400, min_docs=2) for rows in (hot + bad + good, good + bad + hot)]
+    assert models[0] == models[1] and "awful" in models[0].weights
+    assert severities(models[0], ["awful", "good"])[0] > 0.5
+
+
+def test_words_of_a_huge_text_are_bounded():
+    text = " ".join(f"{a}{b}{c}x" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" for c in "abcdefghijklmnopqrstuvwxyzäöüéèç")
+    words = sample_words(text + " " + text[::-1])
+    assert len(words) == 20_000 and words == sorted(set(words)) and sample_words(None) == []

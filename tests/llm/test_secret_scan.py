@@ -64,6 +64,64 @@ def test_automaton_merges_states_and_knows_its_format():
     assert scan.all_spans(both, None) == [] == scan.all_spans(both, "")
 
 
+def test_every_run_is_scored():
+    """Short values and dotted tokens too, whatever key they have."""
+    runs = lambda text: [m.group() for m in scan.CANDIDATE.finditer(text)]
+    assert runs("pwd=hunter2 x=eyJhbGci.eyJzdWIi.c2lnbmF0, ab.cd. abcde --key:'QUJDREVG==' end.") == [
+        "hunter2", "eyJhbGci.eyJzdWIi.c2lnbmF0", "QUJDREVG==",
+    ]
+    dotted = [".".join(p) for p in zip(strings("abcdefghijABCDEFGHIJ0123456789", 8, 60, 1), strings("abcdefghijABCDEFGHIJ0123456789", 8, 60, 2))]
+    short = [a + b for a, b in zip(strings("ghijkl", 4, 60, 3), strings("0123456789", 3, 60, 4))]
+    words = strings("abcdefghijklmnopqrstuvwxyz", 9, 200, 5)
+    model = scan.model_of({"assign": dotted[10:], "hex": short[10:], "ordinary": words}, least_ratio=2.0)
+    text = f"pwd={short[0]} and {dotted[0]} {words[0]}"
+    at = text.index(dotted[0])
+    assert listed(scan.all_spans(model, text)) == [f"format:4:{4 + len(short[0])}", f"format:{at}:{at + len(dotted[0])}"]
+
+
+def formats_by_hand(model, text):
+    """All runs, each held against all spans."""
+    held = [(s, e) for s, e, *_ in scan.base_spans(text)]
+    out = []
+    for m in scan.CANDIDATE.finditer(text):
+        if not any(s < m.end() and m.start() < e for s, e in held):
+            string = m.group().translate(scan.TRANSLATION)
+            ratios = [
+                a.likelihood(string) - model.ordinary.likelihood(string)
+                for a, typical in model.formats.values() if a.likelihood(string) >= typical * (len(string) + 1)
+            ]
+            if max(ratios, default=-1e9) >= model.least_ratio:
+                out.append((m.start(), m.end()))
+    return out
+
+
+def test_formats_of_the_whole_table(spark, sf_dir, tables):
+    """The spans of inferred formats against plain scoring of every run."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = scan.fit_formats(docs)
+    texts = dict(tables.execute("SELECT doc_id, text FROM documents").fetchall())
+    for r in scan.scan_secrets(docs, model).collect():
+        got = [(s.start, s.end) for s in r.spans if s.kind == "format"]
+        assert got == formats_by_hand(model, texts[r.doc_id] or "")
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    keys = strings("0123456789abcdef", 40, 60, 1)
+    model = scan.model_of({"hex": keys, "assign": strings("0123456789ABCDEF", 40, 60, 6), "ordinary": strings("abcdefghij", 18, 60, 2)})
+    text = " ".join(strings("0123456789abcdef", 30, 8000, 3) + strings("0123456789ABCDEF", 40, 100, 4))
+    started = time.time()
+    spans = scan.all_spans(model, text)
+    assert time.time() - started < 2 and sum(k == "hex" for _, _, k, _ in spans) == 8000
+
+
+def test_rows_of_a_hot_id_are_sampled_apart(spark):
+    rows = [(None, f"token = {'%016x' % (i * 7919)} words{i} here") for i in range(900)] + [(i, f"plain text{i} only") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert "assign" in scan.fit_formats(docs, sample_docs=200).formats
+
+
 def test_frames(spark, docs, wide_docs, no_docs):
     model = scan.fit_formats(docs)
     rows = scan.scan_secrets(docs, model).collect()
