@@ -1,9 +1,9 @@
 """Token counts: a separator scan over flat token files without an index.
 
 A file is a row of token ids of fixed width; an end-of-document id closes each document.
-Blocks of a file are searched for that id as vectors. What a block does not know, where the
-document at its start began and how many ended before it, comes from a prefix scan
-over the summaries of the file's blocks.
+Files are read in ranges, many tasks to a file, and searched for that id in blocks, as vectors. What
+a block does not know, where it lies in the file, where the document at its start began and
+how many ended before it, comes from prefix scans over the summaries of the file's blocks.
 """
 
 from __future__ import annotations
@@ -26,9 +26,6 @@ END_OF_DOCUMENT = 0
 WORD_IDS = 65_535
 #: Text of the documents whose tokens go to one file, about; tokens take less room.
 FILE_BYTES = 32 << 20
-#: A file is read whole by one task, so longer ones are refused.
-LONGEST_FILE = 512 << 20
-BLOCK_TOKENS = 1 << 19
 REMEMBERED = 500_000
 
 
@@ -131,56 +128,92 @@ def counted_in_files(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return found
 
 
-def count_tokens(
-    spark: SparkSession, path: str, end: int = END_OF_DOCUMENT, width: int = WIDTH, block_tokens: int = BLOCK_TOKENS,
-    longest_file: int = LONGEST_FILE,
-) -> DataFrame:
+def count_tokens(spark: SparkSession, path: str, end: int = END_OF_DOCUMENT, width: int = WIDTH) -> DataFrame:
     """(file, ordinal, n_tokens): the documents of each flat token file below ``path`` in
     order from 0, with the number of tokens before their end-of-document id.
 
     Tokens behind the last such id are a last document; a document may be empty. An empty
-    file has none. A file that is no whole number of ids long, or longer than
-    ``longest_file`` bytes, fails: flat files are split where they are written.
+    file has none. A file that is no whole number of ids long fails. Files of any length are
+    read in the session's ranges (``spark.sql.files.maxPartitionBytes``), each a task.
+
+    The reader cuts a file at one byte of that id wherever it lies, so what it gives, and that byte
+    again, are the bytes of the file. A first scan adds up the bytes of every range, which says
+    where each begins; a second finds the ids among the whole tokens. Bytes of a token that
+    lies across ranges are put together by its place.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    bad = files.filter((F.col("length") > longest_file) | (F.col("length") % width != 0)).select("path", "length").first()
+    mark = end.to_bytes(width, "little")
+    cut = bytes([max(mark)])
+    reader = spark.read.options(lineSep=cut.decode("latin-1"), encoding="ISO-8859-1", recursiveFileLookup="true")
+    place = [F.col(f"_metadata.{name}") for name in ("file_path", "file_block_start", "file_size")]
+    rows = reader.text(path).select(*[c.alias(n) for c, n in zip(place, ("file", "range", "size"))], F.col("value").cast("binary").alias("value"))
+    ranges = rows.groupBy("file", "range", "size").agg(F.sum(F.octet_length("value") + F.lit(1).cast("long")).alias("bytes"))
+    ranges = stored(ranges, "token-ranges")
+    bad = ranges.filter(F.col("size") % width != 0).select("file", "size").first()
     if bad:
-        raise ValueError(f"{bad['path']}: {bad['length']} bytes; expected whole ids of {width} bytes, {longest_file} bytes at most")
-    size = block_tokens * width
-    starts = F.sequence(F.lit(0), F.greatest((F.col("length") - 1), F.lit(0)), F.lit(size))
-    blocks = files.filter("length > 0").select("path", "content", F.explode(starts).alias("at"))
-    blocks = blocks.select(
-        F.col("path").alias("file"),
-        (F.col("at") / width).cast("long").alias("first"),
-        F.substring("content", (F.col("at") + 1).cast("int"), F.lit(size)).alias("block"),
-    )
+        raise ValueError(f"{bad['file']}: {bad['size']} bytes; expected whole ids of {width} bytes")
+    # A row for each range.
+    before = Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = stored(ranges.select("file", "range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")), "token-starts")
+    placed = rows.join(broadcast_if_small(ranges), ["file", "range"]).select("file", "range", "start", "size", "value")
+    names = ["file", "first", "last", "piece", "ends"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The range that is being read, the place of its next byte, and the bytes of a token begun.
+        key, at, begun = None, 0, b""
         for batch in batches:
-            sizes, ends = [], []
-            for first, block in zip(batch.column("first").to_pylist(), batch.column("block")):
-                tokens = np.frombuffer(block.as_buffer(), dtype=f"<u{width}")
-                sizes.append(len(tokens))
-                ends.append(np.flatnonzero(tokens == end) + first)
-            yield pa.record_batch(
-                [batch.column("file"), batch.column("first"), pa.array(sizes, pa.int64()), pa.array(ends, pa.list_(pa.int64()))],
-                ["file", "first", "size", "ends"],
-            )
-
-    found = blocks.mapInArrow(scan, "file string, first long, size long, ends array<long>")
-    # The scan over blocks: documents ended before, and the place of the last end before.
-    before = Window.partitionBy("file").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy("file").orderBy("first")
+            files, firsts = batch.column("file").to_pylist(), batch.column("range").to_pylist()
+            values = batch.column("value")
+            edges = [i for i in range(1, len(files)) if (files[i], firsts[i]) != (files[i - 1], firsts[i - 1])]
+            out = []
+            for a, b in zip([0, *edges], [*edges, len(files)]):
+                if (files[a], firsts[a]) != key:
+                    if begun:
+                        out.append((key[0], at - len(begun), at, begun, []))
+                    key, at, begun = (files[a], firsts[a]), batch.column("start")[a].as_py(), b""
+                data = cut.join([*values[a:b].to_pylist(), b""])
+                # Behind the last bytes of a file there is no cut.
+                data = data[: max(batch.column("size")[a].as_py() - at, 0)]
+                if not begun and at % width:
+                    head = min(-at % width, len(data))
+                    out.append((files[a], at, at + head, data[:head], []))
+                    at, data = at + head, data[head:]
+                    if at % width:
+                        continue
+                data, at = begun + data, at - len(begun)
+                whole = len(data) // width * width
+                ends = np.flatnonzero(np.frombuffer(data, dtype=f"<u{width}", count=whole // width) == end) + at // width
+                if whole:
+                    out.append((files[a], at, at + whole, None, ends))
+                at, begun = at + len(data), data[whole:]
+            yield pa.record_batch([pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)], names)
+        if begun:
+            last = (key[0], at - len(begun), at, begun, [])
+            yield pa.record_batch([pa.array([x], kind) for x, kind in zip(last, kinds)], names)
+
+    # A range's lines come to one task in their order, as they lie in the file.
+    found = stored(placed.mapInArrow(scan, "file string, first long, last long, piece binary, ends array<long>"), "token-blocks")
+    # Tokens across ranges: a few rows for each range. The last piece has the id they make.
+    pieces = found.filter(F.col("piece").isNotNull()).groupBy("file", F.floor(F.col("first") / width).alias("token"))
+    whole = F.aggregate(F.array_sort(F.collect_list(F.struct("first", "piece"))), F.lit(b""), lambda x, y: F.concat(x, y["piece"]))
+    across = pieces.agg(F.max("first").alias("first"), whole.alias("whole")).filter(F.col("whole") == F.lit(mark))
+    across = broadcast_if_small(stored(across.select("file", "first", "token"), "token-pieces"))
+    found = found.join(across, ["file", "first"], "left")
+    ends = F.when(F.col("piece").isNotNull() & F.col("token").isNotNull(), F.array("token")).otherwise(F.col("ends"))
+    found = found.withColumn("ends", ends).select("file", "first", "last", "ends")
+    # The scan over blocks: a row for each, without the ends it found.
+    order = Window.partitionBy("file").orderBy("first")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     last_end = F.when(F.size("ends") > 0, F.element_at("ends", -1))
-    found = found.select(
-        "file", "ends",
-        F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).alias("done"),
-        F.coalesce(F.max(last_end).over(before), F.lit(-1)).alias("open"),
-        F.when(F.lead("first").over(later).isNull(), F.col("first") + F.col("size")).alias("file_size"),
+    blocks = found.select("file", "first", "last", F.size("ends").alias("n"), last_end.alias("last_end"))
+    blocks = blocks.select(
+        "file", "first", (F.col("last") / width).cast("long").alias("tokens"), F.lead("first").over(order).isNull().alias("closes"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("done"), F.coalesce(F.max("last_end").over(earlier), F.lit(-1)).alias("open"),
     )
+    found = found.select("file", "first", "ends").join(broadcast_if_small(stored(blocks, "token-scan")), ["file", "first"])
     # Behind the last block of a file a missing end is added.
-    closed = F.coalesce(last_end, F.col("open")) == F.col("file_size") - 1
-    ends = F.when(F.col("file_size").isNull() | closed, F.col("ends")).otherwise(F.concat("ends", F.array("file_size")))
+    closed = F.coalesce(last_end, F.col("open")) == F.col("tokens") - 1
+    ends = F.when(~F.col("closes") | closed, F.col("ends")).otherwise(F.concat("ends", F.array("tokens")))
     lengths = F.transform(
         F.col("ends"), lambda e, i: e - F.when(i == 0, F.col("open")).otherwise(F.get(F.col("ends"), i - 1)) - 1
     )
