@@ -107,7 +107,7 @@ HEADLINE: dict[str, Operator] = {
     "join_profiled": profiled,
     "column_profile_documents": lambda s, g: profile.profile_columns(g.tables["documents"]),
     "column_profile_orders": lambda s, g: profile.profile_columns(g.tables["orders"]),
-    "key_column_part": lambda s, g: profile.choose_key(profile.profile_columns(g.tables["part"])),
+    "key_column_part": lambda s, g: profile.find_key(g.tables["part"]),
     "column_values": lambda s, g: profile.column_values(g.tables["part"]),
     "claimants_long": lambda s, g: reports.claimed_attacks(g.events),
     "years": lambda s, g: count_by(g.events, YEAR_FIELD),
