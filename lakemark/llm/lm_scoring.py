@@ -8,7 +8,7 @@ per document.
 
 An n-gram is sent once per block and answered once, however often it occurs in the corpus: no
 table and no task holds the occurrences of a frequent one. Hashes go as sorted runs in as few
-bytes as they allow, and have as many bits as the size of the corpus asks for.
+bits as they allow, and have as many bits as the size of the corpus asks for.
 """
 
 from __future__ import annotations
@@ -161,12 +161,12 @@ def backoff_scores(
         return pa.table({
             "table": pa.array(full, pa.int32()),
             "block": pa.array(np.full(len(full), group.column("block")[0].as_py()), pa.int32()),
-            "grams": pa.array([as_filter((distinct[p] - start)[:, None], times[p], width) for p, start in parts], pa.binary()),
+            "grams": pa.array([as_filter((distinct[p] - start)[:, None], times[p], width, tight=True) for p, start in parts], pa.binary()),
         })
 
     def add_up(group: pa.Table) -> pa.Table:
         width = [((1 << bits) // tables + 1).bit_length()]
-        sent = [of_filter(x, width) for x in group.column("grams").to_pylist()]
+        sent = [of_filter(x, width, tight=True) for x in group.column("grams").to_pylist()]
         flat = np.concatenate([hashes[:, 0] for hashes, _ in sent])
         order_ = np.argsort(flat, kind="stable")
         new = np.ones(len(flat), dtype=bool)

@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemark.llm.common import broadcast_if_small, stored
+from lakemark.llm.common import broadcast_if_small, stored, text_slices
 
 #: Nodes of one key that a part has, about; a cell holds one or two parts.
 PART_NODES = 256
@@ -27,7 +28,8 @@ MOST_ROUNDS = 60
 
 
 def dealt_to_cells(
-    members: DataFrame, key: list[str], node: str, part_nodes: int = PART_NODES, anchor: str = "true"
+    members: DataFrame, key: list[str], node: str, part_nodes: int = PART_NODES, anchor: str = "true",
+    weight: str | None = None, part_weight: int = 1,
 ) -> DataFrame:
     """``members`` of keys with two rows or more, with their cell ``low``, ``high`` and ``part``.
 
@@ -35,17 +37,22 @@ def dealt_to_cells(
     and so to the g cells of that part with every part. Pairs within a part meet in the cell
     (p, p) alone, other pairs in one cell (low, high). Keys are counted before they are
     joined, and both sides of that join are plain shuffled rows, so a hot key is split.
-    Keys without a row for which ``anchor`` holds are left out.
+    Keys without a row for which ``anchor`` holds are left out. With a column ``weight``, which the
+    result lacks, a part has a weight of about ``part_weight`` at most, or one row.
     """
-    counts = members.groupBy(*key).agg(F.count("*").alias("rows_"), F.bool_or(F.expr(anchor)).alias("anchored_"))
-    counts = counts.filter("rows_ > 1 AND anchored_").drop("anchored_")
+    parts = F.ceil(F.count("*") / part_nodes)
+    if weight:
+        parts = F.least(F.greatest(parts, F.ceil(F.sum(weight) / part_weight)), F.count("*"))
+    counts = members.groupBy(*key).agg(
+        F.count("*").alias("rows_"), parts.cast("int").alias("parts"), F.bool_or(F.expr(anchor)).alias("anchored_")
+    )
+    counts = counts.filter("rows_ > 1 AND anchored_").drop("rows_", "anchored_")
     counts = broadcast_if_small(stored(counts, "key-counts"))
-    rows = members.join(counts, key)
-    parts = F.ceil(F.col("rows_") / part_nodes)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64(node), parts).cast("int")).withColumn("parts", parts.cast("int"))
+    rows = (members.drop(weight) if weight else members).join(counts, key)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(node), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    return rows.drop("rows_", "parts", "other")
+    return rows.drop("parts", "other")
 
 
 def brought_together(rows: DataFrame, cell: list[str]) -> DataFrame:
@@ -53,9 +60,12 @@ def brought_together(rows: DataFrame, cell: list[str]) -> DataFrame:
     return rows.repartition(*cell).sortWithinPartitions(*cell)
 
 
-def whole_cells(batches: Iterator[pa.RecordBatch], width: int, rows: int = CHUNK_ROWS) -> Iterator[tuple[pa.Table, np.ndarray]]:
+def whole_cells(
+    batches: Iterator[pa.RecordBatch], width: int, rows: int = CHUNK_ROWS, size: int | None = None
+) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole cells, the first ``width`` columns being the cell, and the number of
-    the cell of each row. Cells are bounded, so what is held over is."""
+    the cell of each row. Cells are bounded, so what is held over is. With ``size``, a table has
+    about that many bytes in its last column, a text, or one cell."""
     held: list[pa.Table] = []
 
     def numbered(table: pa.Table) -> np.ndarray:
@@ -65,10 +75,17 @@ def whole_cells(batches: Iterator[pa.RecordBatch], width: int, rows: int = CHUNK
             new[1:] |= values[1:] != values[:-1]
         return np.cumsum(new)
 
-    for batch in batches:
+    def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start in range(0, batch.num_rows, rows):
-            held.append(pa.Table.from_batches([batch.slice(start, rows)]))
-            if sum(t.num_rows for t in held) < rows:
+            yield from text_slices([batch.slice(start, rows)], limit=size) if size else [batch.slice(start, rows)]
+
+    def heavy() -> int:
+        return sum(pc.sum(pc.binary_length(t.column(t.num_columns - 1))).as_py() or 0 for t in held) if size else 0
+
+    for batch in batches:
+        for piece in sliced(batch):
+            held.append(pa.Table.from_batches([piece]))
+            if sum(t.num_rows for t in held) < rows and (not size or heavy() < size):
                 continue
             table = pa.concat_tables(held).combine_chunks()
             number = numbered(table)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemark.llm import lm_scoring
-from lakemark.llm.filters import read_small, small_numbers
+from lakemark.llm.filters import as_filter, low_bits, of_filter, read_bits, read_small, small_numbers
 from lakemark.llm.lm_scoring import backoff_scores, hash_bits, table_starts
 
 import numpy as np
@@ -115,3 +115,20 @@ def test_exchange_of_blocks_is_shared(spark, docs):
     finally:
         lm_scoring.stored = real
     assert "ReusedExchange" in plans[-1]
+
+
+@pytest.mark.parametrize("width", [1, 7, 29, 43, 64])
+def test_hashes_in_bits_lose_nothing(width):
+    source = np.random.default_rng(width)
+    values = source.integers(0, 1 << width, 3_000, dtype=np.uint64, endpoint=False) if width < 64 else source.integers(0, 1 << 63, 3_000, dtype=np.uint64) * 2 + 1
+    data = low_bits(values, width)
+    assert len(data) == (3_000 * width + 7) // 8
+    got, at = read_bits(b"--" + data + b"-", 3_000, width, 2)
+    assert (got == values).all() and at == len(data) + 2
+    assert len(read_bits(b"", 0, width)[0]) == 0
+    hashes = np.unique(values)
+    times = source.integers(1, 400, len(hashes))
+    for tight in (False, True):
+        again, counts = of_filter(as_filter(hashes[:, None], times, [width], tight), [width], tight)
+        assert (again[:, 0] == hashes).all() and (counts == times).all()
+    assert len(as_filter(hashes[:, None], times, [width], True)) <= len(as_filter(hashes[:, None], times, [width])) + 1

@@ -2,11 +2,12 @@ import math
 
 import numpy as np
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lakemark.llm import pairing
+from lakemark.llm import ngram_join, pairing
 from lakemark.llm.embedding_dedup import bucket_codes, hadamard, near_vectors, tables_for
-from lakemark.llm.ngram_join import least_matches, one_of_each, shingle_sets, similar, verified
+from lakemark.llm.ngram_join import BANDS, ROWS, least_matches, one_of_each, pruned_share, shingle_sets, similar, verified
 
 
 def connected(nodes, links):
@@ -59,7 +60,7 @@ def variants(n, seed, words=80):
 def test_similar_is_the_brute_force_join(spark, monkeypatch, part_nodes):
     """With small parts, cells and chunks as well: hot keys are split without losing a pair."""
     monkeypatch.setattr(pairing, "PART_NODES", part_nodes)
-    monkeypatch.setattr(pairing.dealt_to_cells, "__defaults__", (part_nodes, "true"))
+    monkeypatch.setattr(pairing.dealt_to_cells, "__defaults__", (part_nodes, "true", None, 1))
     rows = variants(300, 1) + [(1000 + i, t) for i, (_, t) in enumerate(variants(40, 1))]
     frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(7)
     check_similar(rows, similar(frame).collect())
@@ -169,3 +170,40 @@ def test_hashing():
     assert codes.shape == (5, 2, 4) and all(len(set(c)) == 4 for c in codes.reshape(-1, 4).tolist())
     assert (bucket_codes(x * 7, 2, 2, 3) == codes).all()
     assert tables_for(0.95, 64, 3, 3) > tables_for(0.95, 64, 2, 3) > tables_for(0.99, 64, 2, 3)
+
+
+def test_pairs_at_the_threshold_are_missed_less_than_once_in_a_million():
+    assert pruned_share(0.8) + (1 - 0.8**ROWS) ** BANDS < 1e-6 and pruned_share(0.85) < 1e-7
+    # The step by step figure is what drawing gives.
+    equal = np.random.default_rng(3).random((200_000, 128)) < 0.8
+    sums = equal.reshape(-1, 8, 16).sum(axis=2).cumsum(axis=1)
+    dropped = (sums < np.array(least_matches(0.8, tolerance=1e-2))).any(axis=1).mean()
+    assert abs(dropped - pruned_share(0.8, tolerance=1e-2)) < 0.003
+
+
+def test_long_texts_make_small_cells(spark, monkeypatch):
+    """Cells are bounded by the n-grams of their texts: no pair is lost, and no cell has more than two
+    of the long ones."""
+    rows = variants(60, 5, words=60)
+    long_ones = [(100 + i, " ".join(f"w{x}" if x != 50 * i else "other" for x in range(900))) for i in range(12)]
+    members = spark.createDataFrame([(1, i.to_bytes(16, "big"), 900 if i < 12 else 10) for i in range(40)], "key INT, node BINARY, size LONG")
+    cells = pairing.dealt_to_cells(members, ["key"], "node", weight="size", part_weight=300)
+    assert "size" not in cells.columns and cells.agg(F.max(F.greatest("low", "high"))).first()[0] > 30
+    met = cells.alias("a").join(cells.alias("b"), ["key", "low", "high"]).filter("a.node < b.node")
+    own = F.expr("low = high OR a.part <> b.part")
+    assert met.filter(own).count() == met.filter(own).select("a.node", "b.node").distinct().count() == 40 * 39 // 2
+    monkeypatch.setattr(ngram_join, "PART_GRAMS", 1000)
+    monkeypatch.setattr(ngram_join, "CELL_BYTES", 4000)
+    docs = spark.createDataFrame(rows + long_ones, "doc_id LONG, text STRING")
+    check_similar(rows + long_ones, similar(docs).collect())
+
+
+def test_whole_cells_by_bytes():
+    texts = ["x" * 50] * 7 + ["y" * 500] + ["z"] * 10 + [None] * 3
+    cell = [0, 0, 0, 1, 1, 2, 2, 3, 4, 4, 5, 5, 5, 5, 5, 5, 6, 6, 7, 7, 8]
+    batch = pa.record_batch([pa.array(cell), pa.array(texts)], ["cell", "text"])
+    got = [(t.column("cell").to_pylist(), n) for t, n in pairing.whole_cells(iter([batch, batch.slice(0, 0)]), 1, rows=100, size=120)]
+    assert [c for cells, _ in got for c in cells] == cell and len(got) > 4
+    for cells, number in got:
+        assert len(number) == len(cells) and (np.diff(cells) > 0).tolist() == (np.diff(number) > 0).tolist()
+    assert len({c for cells, _ in got for c in set(cells)}) == sum(len(set(cells)) for cells, _ in got)
