@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -67,10 +69,23 @@ def worker_state(key: str, build: Callable[[], object]) -> object:
     held = home.__dict__.setdefault("held", {})
     if key not in held:
         held.clear()
+        gc.collect()
+        give_back()
         held[key] = build()
+    else:
+        give_back()
     return held[key]
 
 
+def give_back() -> None:
+    """Return the memory that earlier tasks of this worker have freed to the system; both allocators
+    would keep it, and the worker idles while the executor needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of GNU has it
+    if trim:
+        trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], field: int | None = None, limit: int = SLICE_CHARS
 ) -> Iterator[pa.RecordBatch]:
