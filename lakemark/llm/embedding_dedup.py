@@ -3,7 +3,8 @@
 A vector is turned by sign flips and fast Hadamard transforms; the largest coordinate and its
 sign are its hash. Several such hashes make a bucket of a table. Each vector also goes to the
 buckets that it nearly fell into (multiprobe), and pairs of a bucket are verified by their
-cosine in double precision.
+cosine in double precision. The codes alone say in which bucket a pair meets first; vectors go
+only to buckets that are the first one of some pair.
 """
 
 from __future__ import annotations
@@ -112,6 +113,46 @@ def tables_for(threshold: float, dims: int, hashes: int, probes: int, missed: fl
     return max(1, math.ceil(math.log(missed) / math.log(1 - max(share, 0.01))))
 
 
+def narrow_codes(codes: np.ndarray, most: int) -> list[bytes]:
+    """The codes of each row, below ``most`` or -1, in as many whole bytes a code as that takes; see
+    ``wide_codes``."""
+    size = most.bit_length() // 8 + 1  # a bit is left for the sign
+    flat = np.ascontiguousarray(codes.reshape(len(codes), -1)).astype("<i8").view(np.uint8)
+    flat = flat.reshape(len(codes), -1, 8)[:, :, :size]
+    return [row.tobytes() for row in flat]
+
+
+def wide_codes(rows: list[bytes], tables: int, probes: int) -> np.ndarray:
+    """Codes of shape (rows, tables, 1 + probes) from ``narrow_codes``; a -1 is negative again.
+
+    Rows of vectors of different length may have codes of different size.
+    """
+    codes = np.empty((len(rows), tables, 1 + probes), dtype=np.int64)
+    for size in {len(x) for x in rows}:
+        at = [k for k, x in enumerate(rows) if len(x) == size]
+        flat = np.frombuffer(b"".join(rows[k] for k in at), dtype=np.uint8).reshape(len(at) * tables * (1 + probes), -1)
+        # All bytes of -1 are 255, and no code below the limit has a highest bit.
+        whole = np.where(flat[:, -1:] > 127, 255, 0).astype(np.uint8).repeat(8, axis=1)
+        whole[:, : flat.shape[1]] = flat
+        codes[at] = whole.view("<i8").reshape(len(at), tables, 1 + probes)
+    return codes
+
+
+def meet_first(codes: np.ndarray, tab: np.ndarray, code: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs (i, j) meet in the bucket ``code[i]`` of table ``tab[i]`` and in none before.
+
+    The buckets of a table in which a pair meets are the own one of either, if the other has it.
+    """
+    mine, theirs = codes[i, :, 0], codes[j, :, 0]
+    meets_mine = (codes[j] == mine[:, :, None]).any(axis=2)
+    meets_theirs = (codes[i] == theirs[:, :, None]).any(axis=2)
+    first = (meets_mine | meets_theirs).argmax(axis=1)
+    at = np.arange(len(i))
+    least = np.where(meets_mine[at, first], mine[at, first], np.iinfo(np.int64).max)
+    least = np.minimum(least, np.where(meets_theirs[at, first], theirs[at, first], np.iinfo(np.int64).max))
+    return (first == tab[i]) & (least == code[i])
+
+
 def unit_rows(vectors: list[list[float] | None]) -> dict[int, tuple[list[int], np.ndarray]]:
     """Places and unit vectors of the usable vectors, by dimension."""
     by: dict[int, tuple[list[int], list[np.ndarray]]] = {}
@@ -144,7 +185,7 @@ def near_vectors(
 
     ``hashes`` a table are by default the least number that leaves about ``BUCKET_ROWS`` rows
     to a bucket, ``tables`` as many as ``tables_for`` asks for. A pair that meets in several buckets is taken
-    in the first only.
+    in the first only, which is found from the codes of both before any vector moves.
     """
     source = rows.select(quoted(vec_id).alias("id"), quoted(embedding).cast("array<double>").alias("vector"))
 
@@ -184,10 +225,12 @@ def near_vectors(
                     taken = batch.take(pa.array(at))
                     ends = np.arange(len(at) + 1) * tables * (1 + probes)
                     flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes.ravel()))
+                    narrow = pa.array(narrow_codes(codes, (2 * width_for(dims // 8)) ** hashes), pa.binary())
                     own = ["node", "unit", "copies"]
-                    yield pa.record_batch([*(taken.column(c) for c in own), flat], [*own, "codes"])
+                    yield pa.record_batch([*(taken.column(c) for c in own), flat, narrow], [*own, "codes", "narrow"])
 
-    coded_nodes = nodes.select("node", "unit", "copies").mapInArrow(coded, "node BINARY, unit BINARY, copies BIGINT, codes ARRAY<BIGINT>")
+    made = "node BINARY, unit BINARY, copies BIGINT, codes ARRAY<BIGINT>, narrow BINARY"
+    coded_nodes = nodes.select("node", "unit", "copies").mapInArrow(coded, made)
     coded_nodes = stored(coded_nodes, "codes")
     one = F.posexplode("codes").alias("at", "code")
     members = coded_nodes.select("node", F.octet_length("unit").alias("dims"), one).filter("code >= 0")
@@ -195,9 +238,29 @@ def near_vectors(
     members = members.select("dims", table_of.alias("tab"), "code", "node", probe.alias("probe"))
     # A bucket that only probes reach has no pair to verify.
     cells = dealt_to_cells(members, ["dims", "tab", "code"], "node", anchor="NOT probe")
-    cells = cells.join(coded_nodes, "node")
+    cells = cells.join(coded_nodes.select("node", "narrow"), "node")
     cell = ["dims", "tab", "code", "low", "high"]
-    cells = brought_together(cells.select(*cell, "part", "probe", "node", "unit", "copies", "codes"), cell)
+    own = [*cell, "part", "probe", "node"]
+    cells = brought_together(cells.select(*own, "narrow"), cell)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, number in whole_cells(batches, 5, rows=4096):
+            needed = np.zeros(table.num_rows, dtype=bool)
+            tab, code = table.column("tab").to_numpy(), table.column("code").to_numpy()
+            low, high, part, dims = (table.column(c).to_numpy() for c in ("low", "high", "part", "dims"))
+            probe, codes = table.column("probe").to_numpy(), wide_codes(table.column("narrow").to_pylist(), tables, probes)
+            for i, j in pairs_in_cells(number, low != high, part):
+                fit = ~(probe[i] & probe[j])
+                i, j = i[fit], j[fit]
+                once = meet_first(codes, tab, code, i, j)
+                needed[i[once]] = needed[j[once]] = True
+            if needed.any():
+                yield table.select(own).filter(pa.array(needed)).combine_chunks().to_batches()[0]
+
+    # A vector goes to the cells in which it meets another one first, most often one.
+    cells = cells.select(*own, "narrow").mapInArrow(choose, T.StructType([cells.schema[c] for c in own]))
+    cells = stored(cells, "first-buckets").join(coded_nodes.select("node", "unit", "copies", "narrow"), "node")
+    cells = brought_together(cells.select(*own, "unit", "copies", "narrow"), cell)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, number in whole_cells(batches, 5, rows=4096):
@@ -205,7 +268,7 @@ def near_vectors(
             units, tab, code = table.column("unit").to_pylist(), table.column("tab").to_numpy(), table.column("code").to_numpy()
             low, high, part = (table.column(c).to_numpy() for c in ("low", "high", "part"))
             probe = table.column("probe").to_numpy()
-            codes = table.column("codes").combine_chunks().flatten().to_numpy().reshape(n, tables, 1 + probes)
+            codes = wide_codes(table.column("narrow").to_pylist(), tables, probes)
             copies = table.column("copies").to_numpy()
             names = table.column("node").to_pylist()
             # Cells of several dimensions may lie in one table; rows of a pair have the same.
@@ -220,17 +283,7 @@ def near_vectors(
                     np.einsum("ij,ij->i", vectors[i[s : s + 8192]], vectors[j[s : s + 8192]]) for s in range(0, len(i), 8192)
                 ] or [np.array([])]) >= threshold
                 i, j = i[near], j[near]
-                if not len(i):
-                    continue
-                # The buckets of a table in which the pair meets: the own one of either.
-                mine, theirs = codes[i, :, 0], codes[j, :, 0]
-                meets_mine = (codes[j] == mine[:, :, None]).any(axis=2)
-                meets_theirs = (codes[i] == theirs[:, :, None]).any(axis=2)
-                first = (meets_mine | meets_theirs).argmax(axis=1)
-                at = np.arange(len(i))
-                least = np.where(meets_mine[at, first], mine[at, first], np.iinfo(np.int64).max)
-                least = np.minimum(least, np.where(meets_theirs[at, first], theirs[at, first], np.iinfo(np.int64).max))
-                once = (first == tab[i]) & (least == code[i])
+                once = meet_first(codes, tab, code, i, j)
                 i, j = i[once], j[once]
                 np.add.at(linked, i, copies[j])
                 np.add.at(linked, j, copies[i])

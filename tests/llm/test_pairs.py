@@ -6,7 +6,9 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakemark.llm import ngram_join, pairing
-from lakemark.llm.embedding_dedup import bucket_codes, hadamard, near_vectors, tables_for
+from lakemark.llm.embedding_dedup import (
+    bucket_codes, hadamard, meet_first, narrow_codes, near_vectors, tables_for, wide_codes,
+)
 from lakemark.llm.ngram_join import BANDS, ROWS, least_matches, one_of_each, pruned_share, shingle_sets, similar, verified
 
 
@@ -207,3 +209,32 @@ def test_whole_cells_by_bytes():
     for cells, number in got:
         assert len(number) == len(cells) and (np.diff(cells) > 0).tolist() == (np.diff(number) > 0).tolist()
     assert len({c for cells, _ in got for c in set(cells)}) == sum(len(set(cells)) for cells, _ in got)
+
+
+@pytest.mark.parametrize("most", [2, 128, 1 << 15, 1 << 21, (1 << 35) - 1, 1 << 56])
+def test_codes_in_whole_bytes(most):
+    source = np.random.default_rng(3)
+    codes = source.integers(-1, most, (40, 3, 4))
+    codes[0, 0] = [-1, 0, most - 1, most // 2]
+    rows = narrow_codes(codes, most)
+    assert (wide_codes(rows, 3, 3) == codes).all()
+    other = source.integers(-1, 100, (7, 3, 4))
+    both = wide_codes(rows + narrow_codes(other, 100), 3, 3)
+    assert (both == np.concatenate([codes, other])).all()
+
+
+def test_a_pair_is_taken_in_its_first_bucket_only():
+    source = np.random.default_rng(4)
+    codes = np.stack([[source.choice(9, 3, replace=False) for _ in range(4)] for _ in range(30)])
+    for a in range(30):
+        for b in range(a + 1, 30):
+            meet = [
+                (t, c) for t in range(4) for c in range(9)
+                if c in codes[a, t] and c in codes[b, t] and c in (codes[a, t, 0], codes[b, t, 0])
+            ]
+            told = [
+                (t, c) for t in range(4) for c in range(9)
+                if c in codes[a, t] and c in codes[b, t] and c in (codes[a, t, 0], codes[b, t, 0])
+                and meet_first(codes[[a, b]], np.array([t, t]), np.array([c, c]), np.array([0]), np.array([1]))[0]
+            ]
+            assert told == meet[:1]
