@@ -3,15 +3,15 @@
 A vector is turned by sign flips and fast Hadamard transforms; the largest coordinate and its
 sign are its hash. Several such hashes make a bucket of a table. Each vector also goes to the
 buckets that it nearly fell into (multiprobe), and pairs of a bucket are verified by their
-cosine in double precision. The codes alone say in which bucket a pair meets first; vectors go
-only to buckets that are the first one of some pair.
+cosine in double precision. Codes say in which bucket a pair meets first, and components in a byte
+each that a pair cannot reach the threshold; vectors go only to the buckets where a pair is left.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +138,39 @@ def wide_codes(rows: list[bytes], tables: int, probes: int) -> np.ndarray:
     return codes
 
 
+def in_bytes(units: np.ndarray) -> list[bytes]:
+    """For each unit vector the step of its components, the length of what rounding to whole steps
+    leaves, and the steps, in a byte each."""
+    step = np.abs(units).max(axis=1) / 127
+    steps = np.rint(units / step[:, None])
+    rest = np.sqrt(((units - steps * step[:, None]) ** 2).sum(axis=1))
+    return [a.tobytes() + b.tobytes() for a, b in zip(np.stack([step, rest], axis=1), steps.astype(np.int8))]
+
+
+def may_reach(rows: list[bytes], threshold: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Which pairs (i, j) of the rows of ``in_bytes`` may have a cosine of ``threshold``: none that
+    has is left out.
+
+    With unit vectors x = a + d and y = b + e, a and b being their steps, x y = a b + a e + d y, so it
+    is a b + |e| (1 + |d|) + |d| at most.
+    """
+    told = np.frombuffer(b"".join(x[:16] for x in rows)).reshape(len(rows), 2)
+    steps = np.zeros((len(rows), max(len(x) for x in rows) - 16), dtype=np.int8)
+    for k, x in enumerate(rows):
+        steps[k, : len(x) - 16] = np.frombuffer(x, dtype=np.int8, offset=16)
+
+    def decide(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        near = np.empty(len(i), dtype=bool)
+        for s in range(0, len(i), 8192):
+            a, b = i[s : s + 8192], j[s : s + 8192]
+            product = np.einsum("ij,ij->i", steps[a].astype(np.float64), steps[b].astype(np.float64))
+            most = product * told[a, 0] * told[b, 0] + told[b, 1] * (1 + told[a, 1]) + told[a, 1]
+            near[s : s + 8192] = most >= threshold - 1e-9
+        return near
+
+    return decide
+
+
 def meet_first(codes: np.ndarray, tab: np.ndarray, code: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Which pairs (i, j) meet in the bucket ``code[i]`` of table ``tab[i]`` and in none before.
 
@@ -185,7 +218,8 @@ def near_vectors(
 
     ``hashes`` a table are by default the least number that leaves about ``BUCKET_ROWS`` rows
     to a bucket, ``tables`` as many as ``tables_for`` asks for. A pair that meets in several buckets is taken
-    in the first only, which is found from the codes of both before any vector moves.
+    in the first only, which is found from the codes of both; of pairs that rounded components rule
+    out no vector moves.
     """
     source = rows.select(quoted(vec_id).alias("id"), quoted(embedding).cast("array<double>").alias("vector"))
 
@@ -226,10 +260,11 @@ def near_vectors(
                     ends = np.arange(len(at) + 1) * tables * (1 + probes)
                     flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes.ravel()))
                     narrow = pa.array(narrow_codes(codes, (2 * width_for(dims // 8)) ** hashes), pa.binary())
+                    steps = pa.array(in_bytes(vectors), pa.binary())
                     own = ["node", "unit", "copies"]
-                    yield pa.record_batch([*(taken.column(c) for c in own), flat, narrow], [*own, "codes", "narrow"])
+                    yield pa.record_batch([*(taken.column(c) for c in own), flat, narrow, steps], [*own, "codes", "narrow", "steps"])
 
-    made = "node BINARY, unit BINARY, copies BIGINT, codes ARRAY<BIGINT>, narrow BINARY"
+    made = "node BINARY, unit BINARY, copies BIGINT, codes ARRAY<BIGINT>, narrow BINARY, steps BINARY"
     coded_nodes = nodes.select("node", "unit", "copies").mapInArrow(coded, made)
     coded_nodes = stored(coded_nodes, "codes")
     one = F.posexplode("codes").alias("at", "code")
@@ -238,10 +273,10 @@ def near_vectors(
     members = members.select("dims", table_of.alias("tab"), "code", "node", probe.alias("probe"))
     # A bucket that only probes reach has no pair to verify.
     cells = dealt_to_cells(members, ["dims", "tab", "code"], "node", anchor="NOT probe")
-    cells = cells.join(coded_nodes.select("node", "narrow"), "node")
+    cells = cells.join(coded_nodes.select("node", "narrow", "steps"), "node")
     cell = ["dims", "tab", "code", "low", "high"]
     own = [*cell, "part", "probe", "node"]
-    cells = brought_together(cells.select(*own, "narrow"), cell)
+    cells = brought_together(cells.select(*own, "narrow", "steps"), cell)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, number in whole_cells(batches, 5, rows=4096):
@@ -249,16 +284,19 @@ def near_vectors(
             tab, code = table.column("tab").to_numpy(), table.column("code").to_numpy()
             low, high, part, dims = (table.column(c).to_numpy() for c in ("low", "high", "part", "dims"))
             probe, codes = table.column("probe").to_numpy(), wide_codes(table.column("narrow").to_pylist(), tables, probes)
+            near = may_reach(table.column("steps").to_pylist(), threshold)
             for i, j in pairs_in_cells(number, low != high, part):
                 fit = ~(probe[i] & probe[j])
                 i, j = i[fit], j[fit]
+                fit = near(i, j)
+                i, j = i[fit], j[fit]
                 once = meet_first(codes, tab, code, i, j)
                 needed[i[once]] = needed[j[once]] = True
             if needed.any():
                 yield table.select(own).filter(pa.array(needed)).combine_chunks().to_batches()[0]
 
-    # A vector goes to the cells in which it meets another one first, most often one.
-    cells = cells.select(*own, "narrow").mapInArrow(choose, T.StructType([cells.schema[c] for c in own]))
+    # A vector goes to the cells in which it first meets one that may be near.
+    cells = cells.mapInArrow(choose, T.StructType([cells.schema[c] for c in own]))
     cells = stored(cells, "first-buckets").join(coded_nodes.select("node", "unit", "copies", "narrow"), "node")
     cells = brought_together(cells.select(*own, "unit", "copies", "narrow"), cell)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakemark.llm import ngram_join, pairing
 from lakemark.llm.embedding_dedup import (
-    bucket_codes, hadamard, meet_first, narrow_codes, near_vectors, tables_for, wide_codes,
+    bucket_codes, hadamard, in_bytes, may_reach, meet_first, narrow_codes, near_vectors, tables_for, wide_codes,
 )
 from lakemark.llm.ngram_join import BANDS, ROWS, least_matches, one_of_each, pruned_share, shingle_sets, similar, verified
 
@@ -238,3 +238,16 @@ def test_a_pair_is_taken_in_its_first_bucket_only():
                 and meet_first(codes[[a, b]], np.array([t, t]), np.array([c, c]), np.array([0]), np.array([1]))[0]
             ]
             assert told == meet[:1]
+
+
+@pytest.mark.parametrize("dims", [1, 3, 64, 1500])
+def test_rounded_components_rule_out_no_near_pair(dims):
+    source = np.random.default_rng(dims)
+    x = source.normal(size=(300, dims)) * 10.0 ** source.integers(-3, 3, dims)
+    x = np.concatenate([x, x * (1 + source.normal(scale=0.2, size=x.shape)), -x])
+    x /= np.sqrt((x * x).sum(axis=1))[:, None]
+    i, j = map(np.ravel, np.meshgrid(np.arange(len(x)), np.arange(len(x))))
+    cosine = (x @ x.T)[j, i]
+    told = may_reach(in_bytes(x), 0.95)(i, j)
+    assert told[cosine >= 0.95].all()
+    assert not told[cosine < 0.9].any()
